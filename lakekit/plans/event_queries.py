@@ -284,8 +284,8 @@ def ns_to_timestamp(spark, d):
 
 @query(
     "format_log",
-    """SELECT event_id, '[' || strftime(ts, CASE WHEN epoch_us(ts) % 1000000 = 0 THEN '%Y-%m-%dT%H:%M:%S'
-                                            ELSE '%Y-%m-%dT%H:%M:%S.%f' END) || '] [' || event_type || '] ' || props AS line
+    """SELECT event_id, '[' || CASE WHEN epoch_us(ts) % 1000000 = 0 THEN strftime(ts, '%Y-%m-%dT%H:%M:%S')
+                               ELSE strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') END || '] [' || event_type || '] ' || props AS line
        FROM events""",
 )
 def format_log(spark, d):
@@ -474,12 +474,13 @@ SNAPSHOTS = """SELECT o_orderpriority AS table_id, CAST(strftime(o_orderdate, '%
 @query(
     "snapshot_log",
     f"""SELECT *, CASE WHEN snapshot_id % 100 = 1 THEN 'overwrite' ELSE 'append' END AS operation,
-               lag(snapshot_id) OVER (PARTITION BY table_id ORDER BY created_at, snapshot_id) AS parent_id
+               CAST(lag(snapshot_id) OVER (PARTITION BY table_id ORDER BY created_at, snapshot_id) AS VARCHAR) AS parent_id
         FROM ({SNAPSHOTS})""",
 )
 def snapshot_log(spark, d):
     log = _snapshot_log(fx.table(spark, d, "orders"))
-    return lo.snapshots(log, "table_id", ["created_at", "snapshot_id"])
+    chained = lo.snapshots(log, "table_id", ["created_at", "snapshot_id"])
+    return chained.withColumn("parent_id", F.col("parent_id").cast("string"))
 
 
 @query(

@@ -58,7 +58,7 @@ def logs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return log_rows(table(spark, sf_dir, "events"))
 
 
-def log_rows(source: DataFrame) -> DataFrame:
+def log_rows(events: DataFrame) -> DataFrame:
     """events (batch or stream) as log rows; some have no source or level."""
     kind = F.col("event_type")
     source = (
@@ -66,7 +66,7 @@ def log_rows(source: DataFrame) -> DataFrame:
         .when(kind == "purchase", "executor").when(kind == "click", "stdout")
     )
     level = F.when(kind == "error", "ERROR").when(kind == "click", "WARN").when(kind == "view", "INFO")
-    return source.select(
+    return events.select(
         "event_id",
         "ts",
         F.concat(F.lit("job-"), F.col("user_id").cast("string")).alias("job_id"),

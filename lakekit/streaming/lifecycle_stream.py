@@ -2,16 +2,31 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 from contextlib import contextmanager
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
-from lakekit.operators import lifecycle as lc
+from lakekit.operators.lifecycle import (
+    CANCELLED,
+    COMPLETING,
+    DEAD,
+    FAILED,
+    MAX_RETRIES,
+    PENDING,
+    QUEUED,
+    RUNNING,
+    TERMINAL,
+)
+
+# Send the processor itself to the Python workers, which then need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 _PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 _ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -49,25 +64,25 @@ class _Fold(StatefulProcessor):
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         events = pd.concat(list(rows)).sort_values(["ts", "event_id"])
-        held = self.state.get() if self.state.exists() else (lc.PENDING, 0, None, None, None)
+        held = self.state.get() if self.state.exists() else (PENDING, 0, None, None, None)
         status, failures, started, completed, error = held
         for ts, is_cancel, update, message in zip(
             events["ts"], events["is_cancel"], events["status"], events["error_message"]
         ):
-            if status in lc.TERMINAL and (is_cancel or self.guard_terminal):
+            if status in TERMINAL and (is_cancel or self.guard_terminal):
                 continue
             if is_cancel:
-                status, completed = lc.CANCELLED, ts
+                status, completed = CANCELLED, ts
                 continue
             if message:
                 error = message
-            if update == lc.RUNNING:
+            if update == RUNNING:
                 started = ts
-            if update in lc.COMPLETING:
+            if update in COMPLETING:
                 completed = ts
-            if update == lc.FAILED:
+            if update == FAILED:
                 failures += 1
-                update = lc.QUEUED if failures <= self.max_retries else lc.DEAD
+                update = QUEUED if failures <= self.max_retries else DEAD
             status = update
         started, completed = (None if v is None else int(v) for v in (started, completed))
         self.state.update((status, failures, started, completed, error))
@@ -84,7 +99,7 @@ class _Fold(StatefulProcessor):
 
 
 def lifecycle_stream(
-    sdf: DataFrame, max_retries: int = lc.MAX_RETRIES, guard_terminal: bool = False
+    sdf: DataFrame, max_retries: int = MAX_RETRIES, guard_terminal: bool = False
 ) -> DataFrame:
     """One row for each job and micro-batch: the state after the job's newest event.
 

@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from lakekit.functions.logs import add_labels, parse_log
 
-MAX_BYTES_PER_TRIGGER = "1g"
+MAX_BYTES_PER_TRIGGER = 1 << 30
 
 
 def file_stream(
@@ -20,7 +20,7 @@ def file_stream(
     path: str,
     schema: T.StructType | None = None,
     fmt: str = "parquet",
-    max_bytes: str = MAX_BYTES_PER_TRIGGER,
+    max_bytes: int = MAX_BYTES_PER_TRIGGER,
 ) -> DataFrame:
     """New files under `path` as a stream, oldest first, in micro-batches of about `max_bytes`."""
     reader = spark.readStream.format(fmt).option("maxBytesPerTrigger", max_bytes)

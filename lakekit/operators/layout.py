@@ -33,11 +33,12 @@ def write_partitioned(df: DataFrame, path: str, spec: list[dict], mode: str = "o
     return names
 
 
-def write_sorted(df: DataFrame, path: str, order: list[dict], ties: list[str] = (), mode: str = "overwrite") -> None:
+def write_sorted(df: DataFrame, path: str, order: list[dict], mode: str = "overwrite") -> None:
     """Write files in `[{field, direction}]` order: ranges of it across files, sorted inside each."""
     columns = [F.desc(o["field"]) if o.get("direction", "asc") == "desc" else F.asc(o["field"]) for o in order]
-    columns += [F.asc(c) for c in ties]
-    df.repartitionByRange(*columns).sortWithinPartitions(*columns).write.mode(mode).parquet(path)
+    # The row number lets equal values span several files.
+    ranged = df.withColumn("_tie", F.monotonically_increasing_id()).repartitionByRange(*columns, "_tie")
+    ranged.sortWithinPartitions(*columns).drop("_tie").write.mode(mode).parquet(path)
 
 
 def snapshots(
@@ -65,12 +66,15 @@ def read_as_of(
 ) -> DataFrame:
     """Rows visible at a snapshot: from the last overwrite or replace before it, up to it.
 
-    Data lies in one folder for each `snapshot_id`; the semi join prunes the other folders.
+    Data lies in one folder for each `snapshot_id`, and only the visible folders are read. The log
+    has one row for each commit; the driver lists one folder for each of them anyway.
     """
-    at = log.filter(F.col("snapshot_id") == snapshot_id).agg(F.max("created_at")).scalar()
-    until = log.filter(F.col("created_at") <= at)
-    reset = until.filter(F.col("operation").isin(RESETTING)).agg(F.max("created_at")).scalar()
-    visible = until.filter(
-        (F.col("operation") != "delete") & (reset.isNull() | (F.col("created_at") >= reset))
-    ).select("snapshot_id")
-    return spark.read.schema(schema).parquet(path).join(visible, "snapshot_id", "left_semi")
+    commits = log.orderBy("created_at", "snapshot_id").select("snapshot_id", "operation").collect()
+    ids = [c["snapshot_id"] for c in commits]
+    if snapshot_id not in ids:
+        raise ValueError(f"unknown snapshot: {snapshot_id}")
+    until = commits[: ids.index(snapshot_id) + 1]
+    resets = [i for i, c in enumerate(until) if c["operation"] in RESETTING]
+    since = until[resets[-1] :] if resets else until
+    visible = [c["snapshot_id"] for c in since if c["operation"] != "delete"]
+    return spark.read.schema(schema).parquet(path).filter(F.col("snapshot_id").isin(visible))

@@ -48,7 +48,9 @@ class Ordered:
         else:
             self.cold = None
         runs = min(math.ceil(sum(row["_rows"] for row in found) / limit), MAX_RUNS)
-        ranged = keyed.repartitionByRange(runs, *self.keys, *self.order)
+        # The row number lets equal rows span runs, should `order` not tell all rows apart.
+        numbered = keyed.withColumn("_tie", F.monotonically_increasing_id())
+        ranged = numbered.repartitionByRange(runs, *self.keys, *self.order, "_tie").drop("_tie")
         # Written out so that the run numbers stay fixed for all later steps.
         self.hot = materialize(ranged.withColumn("_run", F.spark_partition_id()), "runs")
 

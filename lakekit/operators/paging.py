@@ -5,51 +5,71 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lakekit.functions.scalars import all_of
 from lakekit.operators.ordered import Ordered
 from lakekit.operators.windows import first_rows
 
+# A top-n gives the final task at most TOP_TASKS times n rows, however many files are read.
+TOP_TASKS = 4096
 # Pages that end within this many rows come from a top-n; later ones from a distributed numbering.
-TOP_ROWS = 100_000
+TOP_ROWS = 10_000
 PAGE_SIZES = (1, 100)
 TAIL_SIZES = (1, 10_000)
 
 
+def top_rows(df: DataFrame, order: list[Column | str], n: int, skip: int = 0) -> DataFrame:
+    """Rows `skip + 1` to `skip + n` by `order`; every task keeps only its own first rows."""
+    return df.coalesce(TOP_TASKS).orderBy(*order).offset(skip).limit(n)
+
+
 def sort_by(df: DataFrame, col: str, *ties: str) -> DataFrame:
-    """Ascending; tie-breakers keep the order repeatable and let equal values span tasks."""
-    return df.orderBy(col, *ties)
+    """Ascending, with ties broken by `ties`, so that equal values can be sorted by several tasks."""
+    return _sorted(df, [F.asc(col)], [F.asc(c) for c in ties])
 
 
 def newest_first(df: DataFrame, ts: str, *ties: str) -> DataFrame:
-    return df.orderBy(*[F.desc(c) for c in [ts, *ties]])
+    return _sorted(df, [F.desc(ts)], [F.desc(c) for c in ties])
+
+
+def _sorted(df: DataFrame, order: list[Column], ties: list[Column]) -> DataFrame:
+    if ties:
+        return df.orderBy(*order, *ties)
+    numbered = df.withColumn("_tie", F.monotonically_increasing_id())
+    return numbered.orderBy(*order, "_tie").drop("_tie")
 
 
 def page_of(
-    df: DataFrame, order: list[str], page: int = 1, size: int = 20, top_rows: int = TOP_ROWS
+    df: DataFrame, order: list[str], page: int = 1, size: int = 20, top_limit: int = TOP_ROWS
 ) -> DataFrame:
-    """Page `page` (from 1) of the rows, newest first by the `order` columns."""
+    """Page `page` (from 1) of the rows, newest first by the `order` columns, which must tell all rows apart."""
     if page < 1 or not PAGE_SIZES[0] <= size <= PAGE_SIZES[1]:
         raise ValueError("page must be at least 1 and size within 1-100")
     skip = (page - 1) * size
-    if skip + size <= top_rows:
-        return df.orderBy(*[F.desc(c) for c in order]).offset(skip).limit(size)
-    # Deep page: number all rows from the oldest, then keep the numbers of this page.
-    numbered = Ordered(df, [], order).running(sums={"_position": F.lit(1)}).result()
-    last = numbered.agg(F.coalesce(F.max("_position"), F.lit(0))).scalar()
-    back = last - F.col("_position")
-    return numbered.filter((back >= skip) & (back < skip + size)).drop("_position")
+    newest = [F.desc(c) for c in order]
+    if skip + size <= top_limit:
+        return top_rows(df, newest, size, skip)
+    # Deep page: number the order columns alone from the oldest row, then fetch the page's rows.
+    total = df.count()
+    numbered = Ordered(df.select(*order), [], order).running(sums={"_position": F.lit(1)}).result()
+    last = total - skip
+    wanted = numbered.filter((F.col("_position") <= last) & (F.col("_position") > last - size))
+    wanted = wanted.select(*[F.col(c).alias("_" + c) for c in order])
+    same = all_of([F.col(c).eqNullSafe(F.col("_" + c)) for c in order])
+    # A page has at most `size` rows, which bounds the broadcast.
+    return df.join(F.broadcast(wanted), same, "left_semi").orderBy(*newest)
 
 
 def tail(df: DataFrame, ts: str, n: int = 500, ties: list[str] = ()) -> DataFrame:
     """The `n` newest rows of the whole selection, newest first."""
     if not TAIL_SIZES[0] <= n <= TAIL_SIZES[1]:
         raise ValueError("n must be within 1-10000")
-    return newest_first(df, ts, *ties).limit(n)
+    return top_rows(df, [F.desc(c) for c in [ts, *ties]], n)
 
 
 def keyset(df: DataFrame, key: str, after: object = None, size: int = 1000) -> DataFrame:
     """`size` rows after a key, each with `is_truncated` and the `next_token` to go on from."""
     rest = df if after is None else df.filter(F.col(key) > after)
-    ahead = rest.orderBy(key).limit(size + 1)
+    ahead = top_rows(rest, [key], size + 1)
     # These windows see at most size + 1 rows.
     whole = Window.partitionBy()
     numbered = ahead.withColumns(

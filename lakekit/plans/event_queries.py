@@ -452,7 +452,7 @@ def _ddl(df) -> str:
 @query("sort_order_write", "SELECT * FROM orders")
 def sort_order_write(spark, d):
     orders, path = fx.table(spark, d, "orders"), scratch_path(spark, "sorted")
-    lo.write_sorted(orders, path, [{"field": "o_orderdate", "direction": "desc"}], ties=["o_orderkey"])
+    lo.write_sorted(orders, path, [{"field": "o_orderdate", "direction": "desc"}])
     return spark.read.schema(orders.schema).parquet(path)
 
 

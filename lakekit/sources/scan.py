@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lakekit.operators.paging import top_rows
+
 
 def scan(spark: SparkSession, path: str, cols: list[str] | None = None) -> DataFrame:
     """A Parquet dataset, reading only `cols`."""
@@ -25,7 +27,7 @@ def read_merged(spark: SparkSession, path: str, schema: T.StructType | None = No
 
 def preview(df: DataFrame, n: int, order: list[str]) -> DataFrame:
     """The first `n` rows by `order`."""
-    return df.orderBy(*order).limit(n)
+    return top_rows(df, order, n)
 
 
 def inventory(spark: SparkSession, root: str, prefix: str = "") -> DataFrame:

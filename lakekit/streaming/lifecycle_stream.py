@@ -47,7 +47,7 @@ _OUTPUT = T.StructType(
         T.StructField("ts", T.LongType()),
         T.StructField("event_id", T.LongType()),
         T.StructField("status_after", T.StringType()),
-        T.StructField("retry_count", T.IntegerType()),
+        T.StructField("retry_count", T.LongType()),
         T.StructField("started_at", T.LongType()),
         T.StructField("completed_at", T.LongType()),
         T.StructField("last_error", T.StringType()),

@@ -5,25 +5,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakekit.functions.scalars import money, round2
+from lakekit.functions.scalars import round2
 from lakekit.operators.transforms import where_all
 
 
 def summarize(df: DataFrame, keys: list[str], col: str, digits: int | None = None) -> DataFrame:
-    """Count, sum and average of an amount by keys, rounded when `digits` is given."""
-    parts = df.groupBy(*keys).agg(
-        F.count("*").alias("count"), F.count(col).alias("_n"), F.sum(money(col)).alias("_sum")
-    )
-    if digits is None:
-        total, mean = F.col("_sum").cast("double"), F.col("_sum").cast("double") / F.col("_n")
-    else:
-        total = F.round("_sum", digits).cast("double")
-        mean = F.round(F.col("_sum") / F.col("_n"), digits).cast("double")
-    return parts.select(
-        *keys,
-        "count",
-        total.alias(f"total_{col}"),
-        F.when(F.col("_n") > 0, mean).alias(f"avg_{col}"),
+    """Count, sum and average of an amount by keys, rounded when `digits` is given.
+
+    Sums of doubles depend on row order in their last digits; give a decimal column where that matters.
+    """
+    total, mean = F.sum(col), F.avg(col)
+    if digits is not None:
+        total, mean = F.round(total, digits), F.round(mean, digits)
+    return df.groupBy(*keys).agg(
+        F.count("*").alias("count"), total.alias(f"total_{col}"), mean.alias(f"avg_{col}")
     )
 
 
@@ -43,7 +38,7 @@ def pivot_sum(df: DataFrame, row: str, col: str, val: str, values: list | None =
     Given `values`, the job that looks for them is saved.
     """
     cells = df.groupBy(row).pivot(col, values) if values else df.groupBy(row).pivot(col)
-    return cells.agg(round2(F.sum(money(val))).cast("double"))
+    return cells.agg(round2(F.sum(val)))
 
 
 def row_count(df: DataFrame) -> DataFrame:

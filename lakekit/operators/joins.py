@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakekit.functions.scalars import money, round2
+from lakekit.functions.scalars import round2
 
 
 def join_inner(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
@@ -19,11 +19,9 @@ def join_summary(fact: DataFrame, dim: DataFrame, key: str, dims: list[str], col
     The fact side is summed by join key first. That uses the shuffle the join needs anyway, and
     a key that holds much of the table reaches the join as one row.
     """
-    by_key = fact.groupBy(key).agg(F.count("*").alias("_n"), F.sum(money(col)).alias("_sum"))
+    by_key = fact.groupBy(key).agg(F.count("*").alias("_n"), F.sum(col).alias("_sum"))
     joined = by_key.join(dim.select(key, *dims), key)
-    return joined.groupBy(*dims).agg(
-        F.sum("_n").alias("orders"), round2(F.sum("_sum")).cast("double").alias("revenue")
-    )
+    return joined.groupBy(*dims).agg(F.sum("_n").alias("orders"), round2(F.sum("_sum")).alias("revenue"))
 
 
 def lookup(

@@ -89,19 +89,15 @@ def history(
     `changes` rows carry `fields` (before the change), `add`, `drop`, `rename` and `changed_by`.
     Creation is version 1, so changes count from 2. Rows without a logged change get no version.
     """
-    edited = changes.select(
-        table,
-        *order,
-        edit_fields("fields", "add", "drop", "rename").alias("fields"),
-        change_texts("fields", "add", "drop", "rename").alias("_texts"),
-        "changed_by",
-    ).filter(F.size("_texts") > 0)
-    numbered = Ordered(edited, [table], order, run_rows).running(sums={"_nth": F.lit(1)}).result()
+    names = F.transform(F.concat("fields", "add"), lambda f: f["name"])
+    kept = F.array_except(names, "drop")
+    logged = (F.size("add") > 0) | (F.size("drop") > 0) | F.exists("rename", lambda r: F.array_contains(kept, r["old"]))
+    numbered = Ordered(changes.filter(logged), [table], order, run_rows).running(sums={"_nth": F.lit(1)}).result()
     return numbered.select(
         table,
         *order,
         (F.col("_nth") + (first_version - 1)).alias("version"),
-        "fields",
-        join_changes("_texts").alias("change_summary"),
+        edit_fields("fields", "add", "drop", "rename").alias("fields"),
+        join_changes(change_texts("fields", "add", "drop", "rename")).alias("change_summary"),
         "changed_by",
     )

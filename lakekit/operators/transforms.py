@@ -8,7 +8,7 @@ from decimal import Decimal
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakekit.functions.scalars import all_of, money, round2
+from lakekit.functions.scalars import all_of, round2
 
 # Tax rate, bucket edges and labels, name rules.
 TAX_RATE = "1.18"
@@ -21,16 +21,16 @@ BUCKET_NAME_LENGTH = (3, 63)
 
 
 def with_tax(df: DataFrame, col: str, out: str = "amount_tax", rate: str = TAX_RATE) -> DataFrame:
-    return df.withColumn(out, round2(money(col) * F.lit(Decimal(rate))).cast("double"))
+    return df.withColumn(out, round2(F.col(col) * F.lit(Decimal(rate))))
 
 
 def product(a: str, b: str) -> Column:
-    """Exact product of a quantity and an amount."""
-    return money(a) * money(b)
+    """Quantity times price, not rounded."""
+    return F.col(a) * F.col(b)
 
 
 def with_product(df: DataFrame, a: str, b: str, out: str = "total_price") -> DataFrame:
-    return df.withColumn(out, round2(product(a, b)).cast("double"))
+    return df.withColumn(out, round2(product(a, b)))
 
 
 def bucketize(

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lakekit.functions.scalars import money, round2
+from lakekit.functions.scalars import round2
 from lakekit.operators.ordered import Ordered
 
 
@@ -28,7 +28,7 @@ def moving_avg(
 
     def add(rows: DataFrame, spec) -> DataFrame:
         frame = spec.rowsBetween(1 - n, 0)
-        return rows.withColumn(out, round2(F.avg(money(col)).over(frame)).cast("double"))
+        return rows.withColumn(out, round2(F.avg(col).over(frame)))
 
     return Ordered(df, [key], order, run_rows).sliding(n - 1, add).result()
 

@@ -6,7 +6,7 @@ from datetime import datetime
 
 from pyspark.sql import functions as F
 
-from lakekit.functions.scalars import round2
+from lakekit.functions.scalars import money, round2
 from lakekit.operators import aggregates as a
 from lakekit.operators import joins as j
 from lakekit.operators import quality as q
@@ -19,11 +19,18 @@ from lakekit.session import scratch_path
 
 SALES = """SELECT l_orderkey AS transaction_id, l_extendedprice AS amount, l_returnflag AS category,
                   l_linestatus AS country FROM lineitem"""
-PRODUCT = "CAST(CAST(l_quantity AS INT) AS DECIMAL(12,2)) * CAST(l_extendedprice AS DECIMAL(18,2))"
+PRODUCT = "(l_quantity * l_extendedprice)"
+
+
+def rounded(value: str) -> str:
+    """Half-up rounding of a double's decimal digits, as Spark does it."""
+    return f"CAST(round(CAST(CAST({value} AS VARCHAR) AS DECIMAL(38,15)), 2) AS DOUBLE)"
+
+
 PREPARED = f"""
     SELECT l_orderkey AS order_id, 'item_' || l_partkey AS item, CAST(l_quantity AS INT) AS quantity,
            l_extendedprice AS unit_price, 'delivered' AS status,
-           CAST(round({PRODUCT}, 2) AS DOUBLE) AS total_price, {PRODUCT} > 1000 AS is_high_value
+           {rounded(PRODUCT)} AS total_price, {PRODUCT} > 1000 AS is_high_value
     FROM lineitem WHERE l_linestatus <> 'O'"""
 LOGS = """SELECT event_id, ts, 'job-' || user_id AS job_id,
        CASE event_type WHEN 'error' THEN 'stderr' WHEN 'view' THEN 'driver' WHEN 'purchase' THEN 'executor'
@@ -31,18 +38,15 @@ LOGS = """SELECT event_id, ts, 'job-' || user_id AS job_id,
        CASE event_type WHEN 'error' THEN 'ERROR' WHEN 'click' THEN 'WARN' WHEN 'view' THEN 'INFO' END AS level,
        CASE event_type WHEN 'error' THEN 'ERROR' WHEN 'click' THEN 'WARN' WHEN 'view' THEN 'INFO' ELSE 'NONE' END
          || ' ' || props AS message FROM events"""
-# Half-up average in cents of non-negative amounts.
-AVG_CENTS = "((2 * sum({c}) + count(*)) // (2 * count(*)))::BIGINT / 100.0::DOUBLE"
-
 
-@query("project_tax", f"SELECT *, CAST(round(CAST(amount AS DECIMAL(18,2)) * 1.18, 2) AS DOUBLE) AS amount_tax FROM ({SALES})")
+@query("project_tax", f"SELECT *, {rounded('amount * 1.18::DOUBLE')} AS amount_tax FROM ({SALES})")
 def project_tax(spark, d):
     return t.with_tax(fx.sales(spark, d), "amount")
 
 
 @query(
     "project_product",
-    f"SELECT l_orderkey, l_linenumber, CAST(round({PRODUCT}, 2) AS DOUBLE) AS total_price FROM lineitem",
+    f"SELECT l_orderkey, l_linenumber, {rounded(PRODUCT)} AS total_price FROM lineitem",
 )
 def project_product(spark, d):
     rows = fx.table(spark, d, "lineitem")
@@ -147,7 +151,7 @@ def join_inner(spark, d):
 
 @query(
     "join_agg",
-    f"""SELECT tier, country, count(*) AS orders, CAST(sum(CAST(total AS DECIMAL(18,2))) AS DOUBLE) AS revenue
+    f"""SELECT tier, country, count(*) AS orders, round(sum(total), 2) AS revenue
         FROM ({CUSTOMER_ORDERS}) GROUP BY tier, country""",
 )
 def join_agg(spark, d):
@@ -177,20 +181,22 @@ def child_count(spark, d):
     return j.child_count(parent, child, "c_custkey").orderBy("c_name", "c_custkey")
 
 
+# Sums in cents, so that they are exact; the average of a two-digit decimal has six digits.
 @query(
     "agg_by_key",
-    f"""SELECT category, count(*) AS count, CAST(sum(CAST(amount AS DECIMAL(18,2))) AS DOUBLE) AS total_amount,
-               CAST(sum(CAST(amount AS DECIMAL(18,2))) AS DOUBLE) / count(*) AS avg_amount
-        FROM ({SALES}) GROUP BY category""",
+    f"""SELECT category, n AS count, s::DOUBLE / 100 AS total_amount,
+               ((2 * s * 10000 + n) // (2 * n))::DOUBLE / 1000000 AS avg_amount
+        FROM (SELECT category, count(*) AS n, sum(CAST(round(amount * 100) AS BIGINT)) AS s FROM ({SALES}) GROUP BY ALL)""",
 )
 def agg_by_key(spark, d):
-    return a.summarize(fx.sales(spark, d), ["category"], "amount")
+    exact = fx.sales(spark, d).withColumn("amount", money("amount"))
+    totals = a.summarize(exact, ["category"], "amount")
+    return totals.withColumns({c: F.col(c).cast("double") for c in ("total_amount", "avg_amount")})
 
 
-SUMMARY = f"""SELECT category, country, count(*) AS count,
-               CAST(sum(CAST(amount AS DECIMAL(18,2))) AS DOUBLE) AS total_amount,
-               {AVG_CENTS.format(c='CAST(round(amount * 100) AS BIGINT)')} AS avg_amount
-        FROM ({SALES}) GROUP BY category, country"""
+SUMMARY = f"""SELECT category, country, count(*) AS count, round(sum(amount), 2) AS total_amount,
+                     {rounded('avg(amount)')} AS avg_amount
+              FROM ({SALES}) GROUP BY category, country"""
 
 
 @query("agg_by_two_keys", SUMMARY)
@@ -210,9 +216,9 @@ def distribution_stats(spark, d):
 @query(
     "pivot_sum",
     """SELECT o_orderpriority,
-              CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) FILTER (WHERE o_orderstatus = 'F') AS DOUBLE) AS "F",
-              CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) FILTER (WHERE o_orderstatus = 'O') AS DOUBLE) AS "O",
-              CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) FILTER (WHERE o_orderstatus = 'P') AS DOUBLE) AS "P"
+              round(sum(o_totalprice) FILTER (WHERE o_orderstatus = 'F'), 2) AS "F",
+              round(sum(o_totalprice) FILTER (WHERE o_orderstatus = 'O'), 2) AS "O",
+              round(sum(o_totalprice) FILTER (WHERE o_orderstatus = 'P'), 2) AS "P"
        FROM orders GROUP BY o_orderpriority""",
 )
 def pivot_sum(spark, d):
@@ -244,14 +250,12 @@ def dedup_report(spark, d):
 
 @query(
     "round2",
-    """SELECT l_orderkey, l_linenumber,
-              CAST(round(CAST(l_extendedprice AS DECIMAL(18,2)) * CAST(l_discount AS DECIMAL(4,2)), 2) AS DOUBLE) AS cut
-       FROM lineitem""",
+    f"""SELECT l_orderkey, l_linenumber,
+              {rounded('l_extendedprice * l_discount')} AS cut FROM lineitem""",
 )
 def round_two(spark, d):
     rows = fx.table(spark, d, "lineitem", ["l_orderkey", "l_linenumber", "l_extendedprice", "l_discount"])
-    exact = t.money("l_extendedprice") * F.col("l_discount").cast("decimal(4,2)")
-    return rows.select("l_orderkey", "l_linenumber", round2(exact).cast("double").alias("cut"))
+    return rows.select("l_orderkey", "l_linenumber", round2(F.col("l_extendedprice") * F.col("l_discount")).alias("cut"))
 
 
 @query("dq_null_check", "SELECT count(*) FILTER (WHERE item IS NULL) AS null_item FROM (" + PREPARED + ")")

@@ -13,7 +13,7 @@ from lakekit.operators import schema as sch
 from lakekit.operators import windows as w
 from lakekit.operators.lifecycle import lifecycle
 from lakekit.plans import fixtures as fx
-from lakekit.plans.core_queries import LOGS
+from lakekit.plans.core_queries import LOGS, rounded
 from lakekit.plans.registry import query
 from lakekit.session import scratch_path
 from lakekit.sources.scan import read_merged
@@ -132,9 +132,10 @@ def count_over_time(spark, d):
 
 @query(
     "moving_average",
-    """SELECT event_id, user_id, ts, value, ((2 * s + n) // (2 * n))::BIGINT / 100.0::DOUBLE AS moving_avg FROM (
-         SELECT *, sum(CAST(round(value * 100) AS BIGINT)) OVER f AS s, count(*) OVER f AS n FROM events
-         WINDOW f AS (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN 2 PRECEDING AND CURRENT ROW))""",
+    f"""SELECT event_id, user_id, ts, value, {rounded(
+        "CASE WHEN b IS NOT NULL THEN (b + a + value) / 3 WHEN a IS NOT NULL THEN (a + value) / 2 ELSE value END"
+    )} AS moving_avg FROM (SELECT *, lag(value) OVER w AS a, lag(value, 2) OVER w AS b FROM events
+                          WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id))""",
 )
 def moving_average(spark, d):
     rows = fx.table(spark, d, "events", ["event_id", "user_id", "ts", "value"])

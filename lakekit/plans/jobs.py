@@ -27,101 +27,91 @@ from lakekit.sources.sinks import write
 Job = Callable[[SparkSession, str, int, int], DataFrame]
 
 # The columns of the generated tables and their domains.
-TABLES: dict[str, dict[str, s.Kind]] = {}
-
-
-def _tables() -> dict[str, dict[str, s.Kind]]:
-    """Column kinds by table; built on first use, because they are Spark expressions."""
-    if TABLES:
-        return TABLES
-    countries = ["US", "UK", "DE", "JP", "IN"]
-    TABLES.update(
-        demo={
-            "id": s.sequence(),
-            "random_int": s.uniform_int(1, 100),
-            "random_double": s.uniform(0, 100, digits=None),
-        },
-        sales={
-            "transaction_id": s.sequence(1),
-            "amount": s.uniform(5, 500),
-            "category": s.choice(["electronics", "clothing", "food", "home", "sports"]),
-            "country": s.choice(countries),
-            "customer_id": s.prefixed_int("customer_", 1, 200),
-        },
-        events={
-            "event_id": s.sequence(),
-            "user_id": s.prefixed_int("user_", 1, 500),
-            "event_type": s.choice(["click", "view", "purchase", "search"]),
-            "value": s.uniform(0, 100),
-        },
-        revenue={
-            "id": s.sequence(),
-            "category": s.choice(["electronics", "clothing", "food", "home", "sports", "books"]),
-            "revenue": s.uniform(10, 1000),
-        },
-        transactions={
-            "id": s.sequence(),
-            "txn_ref": s.padded("txn_"),
-            "amount": s.uniform(1, 5000),
-            "country": s.choice(countries),
-        },
-        sensors={
-            "id": s.sequence(),
-            "sensor_id": s.prefixed_int("sensor_", 1, 10),
-            "timestamp": s.hourly("2026-01-01"),
-            "temperature": s.uniform(15, 45),
-        },
-        customers={
-            "customer_id": s.sequence(1),
-            "name": lambda row, seed, name: F.concat(F.lit("customer_"), (row + 1).cast("string")),
-            "tier": s.choice(["gold", "silver", "bronze"]),
-            "country": s.choice(["US", "UK", "DE", "JP"]),
-        },
-        orders={
-            "order_id": s.sequence(),
-            "customer_id": s.uniform_int(1, 200),
-            "total": s.uniform(10, 2000),
-        },
-        emails={
-            "id": s.sequence(),
-            "email": s.modular("email_", 300, "@test.com"),
-            "score": s.uniform(1, 100),
-        },
-        product_sales={
-            "id": s.sequence(),
-            "region": s.choice(["north", "south", "east", "west"]),
-            "product": s.choice(["widget_a", "widget_b", "widget_c", "widget_d"]),
-            "month": s.choice(["2026-01", "2026-02", "2026-03"]),
-            "sales": s.uniform(100, 10000),
-        },
-        measurements={
-            "id": s.sequence(),
-            "measurement": s.gauss(100, 25),
-            "group": s.choice(["A", "B", "C"]),
-        },
-        partitioned_sales={
-            "id": s.sequence(),
-            "country": s.choice([*countries, "BR"]),
-            "year": s.choice(["2024", "2025", "2026"]),
-            "product": s.prefixed_int("product_", 1, 50),
-            "amount": s.uniform(5, 500),
-        },
-        item_orders={
-            "order_id": s.sequence(),
-            "item": s.prefixed_int("item_", 1, 100),
-            "quantity": s.uniform_int(1, 50),
-            "unit_price": s.uniform(5, 200),
-            "status": s.choice(["pending", "shipped", "delivered"]),
-        },
-    )
-    return TABLES
-
-
+COUNTRIES = ["US", "UK", "DE", "JP", "IN"]
+TABLES: dict[str, dict[str, s.Kind]] = {
+    "demo": {
+        "id": s.sequence(),
+        "random_int": s.uniform_int(1, 100),
+        "random_double": s.uniform(0, 100, digits=None),
+    },
+    "sales": {
+        "transaction_id": s.sequence(1),
+        "amount": s.uniform(5, 500),
+        "category": s.choice(["electronics", "clothing", "food", "home", "sports"]),
+        "country": s.choice(COUNTRIES),
+        "customer_id": s.prefixed_int("customer_", 1, 200),
+    },
+    "events": {
+        "event_id": s.sequence(),
+        "user_id": s.prefixed_int("user_", 1, 500),
+        "event_type": s.choice(["click", "view", "purchase", "search"]),
+        "value": s.uniform(0, 100),
+    },
+    "revenue": {
+        "id": s.sequence(),
+        "category": s.choice(["electronics", "clothing", "food", "home", "sports", "books"]),
+        "revenue": s.uniform(10, 1000),
+    },
+    "transactions": {
+        "id": s.sequence(),
+        "txn_ref": s.padded("txn_"),
+        "amount": s.uniform(1, 5000),
+        "country": s.choice(COUNTRIES),
+    },
+    "sensors": {
+        "id": s.sequence(),
+        "sensor_id": s.prefixed_int("sensor_", 1, 10),
+        "timestamp": s.hourly("2026-01-01"),
+        "temperature": s.uniform(15, 45),
+    },
+    "customers": {
+        "customer_id": s.sequence(1),
+        "name": lambda row, seed, name: F.concat(F.lit("customer_"), (row + 1).cast("string")),
+        "tier": s.choice(["gold", "silver", "bronze"]),
+        "country": s.choice(["US", "UK", "DE", "JP"]),
+    },
+    "orders": {
+        "order_id": s.sequence(),
+        "customer_id": s.uniform_int(1, 200),
+        "total": s.uniform(10, 2000),
+    },
+    "emails": {
+        "id": s.sequence(),
+        "email": s.modular("email_", 300, "@test.com"),
+        "score": s.uniform(1, 100),
+    },
+    "product_sales": {
+        "id": s.sequence(),
+        "region": s.choice(["north", "south", "east", "west"]),
+        "product": s.choice(["widget_a", "widget_b", "widget_c", "widget_d"]),
+        "month": s.choice(["2026-01", "2026-02", "2026-03"]),
+        "sales": s.uniform(100, 10000),
+    },
+    "measurements": {
+        "id": s.sequence(),
+        "measurement": s.gauss(100, 25),
+        "group": s.choice(["A", "B", "C"]),
+    },
+    "partitioned_sales": {
+        "id": s.sequence(),
+        "country": s.choice([*COUNTRIES, "BR"]),
+        "year": s.choice(["2024", "2025", "2026"]),
+        "product": s.prefixed_int("product_", 1, 50),
+        "amount": s.uniform(5, 500),
+    },
+    "item_orders": {
+        "order_id": s.sequence(),
+        "item": s.prefixed_int("item_", 1, 100),
+        "quantity": s.uniform_int(1, 50),
+        "unit_price": s.uniform(5, 200),
+        "status": s.choice(["pending", "shipped", "delivered"]),
+    },
+}
 CUSTOMERS = 200
 
 
 def generate(spark: SparkSession, table: str, records: int, seed: int = 0) -> DataFrame:
-    return s.synth(spark, records, _tables()[table], seed)
+    return s.synth(spark, records, TABLES[table], seed)
 
 
 def demo(spark: SparkSession, out: str, records: int, seed: int) -> DataFrame:

@@ -33,7 +33,8 @@ def preview(df: DataFrame, n: int, order: list[str]) -> DataFrame:
 def inventory(spark: SparkSession, root: str, prefix: str = "") -> DataFrame:
     """Objects under `root` whose key starts with `prefix`: key, size, last_modified.
 
-    Only file metadata is read, because the content column is pruned from the scan.
+    Only file metadata is read, because the content column is pruned from the scan. Spark's file
+    index leaves out objects of zero bytes.
     """
     base = root.rstrip("/") + "/"
     key = F.regexp_extract("path", "^.*?" + _literal(base) + "(.*)$", 1)

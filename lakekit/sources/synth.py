@@ -40,8 +40,8 @@ def uniform(low: float, high: float, digits: int | None = 2) -> Kind:
 
 
 def choice(values: list[str]) -> Kind:
-    options = F.array(*[F.lit(v) for v in values])
-    return lambda row, seed, name: F.element_at(options, uniform_int(1, len(values))(row, seed, name))
+    pick = uniform_int(1, len(values))
+    return lambda row, seed, name: F.element_at(F.array(*[F.lit(v) for v in values]), pick(row, seed, name))
 
 
 def gauss(mean: float, deviation: float, digits: int | None = None) -> Kind:
@@ -71,8 +71,7 @@ def modular(prefix: str, n: int, suffix: str = "") -> Kind:
 
 def hourly(base: str) -> Kind:
     """One hour for each row, from a base instant."""
-    start = F.lit(base).cast("timestamp_ntz")
-    return lambda row, seed, name: start + F.make_dt_interval(hours=row.cast("int"))
+    return lambda row, seed, name: F.lit(base).cast("timestamp_ntz") + F.make_dt_interval(hours=row.cast("int"))
 
 
 def constant(value: object) -> Kind:

@@ -16,16 +16,14 @@ DEFAULT_LEVEL = "INFO"
 
 def parse_log(df: DataFrame, line: str = "line") -> DataFrame:
     """Split `[ts] [level] message`; other lines keep their text as the message."""
-    hit = F.col(line).rlike(LINE_PATTERN)
-
-    def part(i: int) -> Column:
-        return F.when(hit, F.regexp_extract(line, LINE_PATTERN, i))
-
+    stamp, level, message = (F.regexp_extract(line, LINE_PATTERN, i) for i in (1, 2, 3))
+    # The level of a line that matches is never empty, and that of any other line always is.
+    hit = F.col(line).startswith("[") & (level != "")
     return df.withColumns(
         {
-            "ts": F.try_to_timestamp(part(1), F.lit(TIME_FORMAT)),
-            "level": part(2),
-            "message": F.coalesce(part(3), F.col(line)),
+            "ts": F.try_to_timestamp(F.when(hit, stamp), F.lit(TIME_FORMAT)),
+            "level": F.when(hit, level),
+            "message": F.when(hit, message).otherwise(F.col(line)),
         }
     )
 

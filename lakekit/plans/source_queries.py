@@ -24,21 +24,28 @@ def scan_parquet(spark, d):
 
 
 # The row numbers of the generated tables are the order keys, so they grow with the orders.
-_DRAW = "('0x' || substr(md5('7:{}:' || o_orderkey), 1, 13))::BIGINT / pow(2, 52)"
+def _draw(name: str) -> str:
+    word = (
+        f"((o_orderkey % 2147483648 * 2654435761 + o_orderkey // 2147483648 % 2147483648 * 40503"
+        f" + {s.salt(7, name)}) % 4294967296)::BIGINT"
+    )
+    for _ in range(2):
+        word = f"(xor({word}, ({word}) >> 16) * 73244475 % 4294967296)::BIGINT"
+    return f"(xor({word}, ({word}) >> 16)::DOUBLE / 4294967296.0::DOUBLE)"
 
 
 @query(
     "synth_table",
     f"""
     SELECT o_orderkey + 1 AS transaction_id,
-           round({_DRAW.format('amount')} * 495.0 + 5.0, 2) AS amount,
+           round({_draw('amount')} * 495.0 + 5.0, 2) AS amount,
            ['electronics', 'clothing', 'food', 'home', 'sports'][
-             (floor({_DRAW.format('category')} * 5) + 1)::INT] AS category,
+             CAST(floor({_draw('category')} * 5) + 1 AS INT)] AS category,
            '2026-03-28' AS txn_date,
-           'customer_' || (floor({_DRAW.format('customer_id')} * 200) + 1)::INT AS customer_id,
-           (floor({_DRAW.format('random_int')} * 100) + 1)::INT AS random_int,
-           round(sqrt(ln(1 - {_DRAW.format('measurement.r')}) * -2)
-                 * cos({_DRAW.format('measurement.a')} * (2 * pi())) * 25 + 100, 6) AS measurement
+           'customer_' || CAST(floor({_draw('customer_id')} * 200) + 1 AS INT) AS customer_id,
+           CAST(floor({_draw('random_int')} * 100) + 1 AS INT) AS random_int,
+           round(sqrt(ln(1 - {_draw('measurement.r')}) * -2)
+                 * cos({_draw('measurement.a')} * (2 * pi())) * 25 + 100, 6) AS measurement
     FROM orders
     """,
 )

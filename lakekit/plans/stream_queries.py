@@ -11,17 +11,17 @@ from lakekit.plans.event_queries import LIFECYCLE, PARSED, plain_times
 from lakekit.plans.registry import query
 from lakekit.session import scratch_path
 from lakekit.streaming import streams as st
-from lakekit.streaming.lifecycle_stream import lifecycle_stream, rocksdb_state
+from lakekit.streaming.lifecycle_stream import MAX_BYTES_PER_TRIGGER, lifecycle_stream, rocksdb_state
 
 DELAY = "1 hour"
 
 
-def _events(spark, d):
+def _events(spark, d, max_bytes=st.MAX_BYTES_PER_TRIGGER):
     """The events as a stream; a watermark needs the timestamp type.
 
     A stream takes a folder or a pattern, and this pattern fits both one file and a folder of files.
     """
-    source = st.file_stream(spark, f"{d.rstrip('/')}/{{events}}.parquet", fx.event_schema(spark, d))
+    source = st.file_stream(spark, f"{d.rstrip('/')}/{{events}}.parquet", fx.event_schema(spark, d), max_bytes=max_bytes)
     return source.withColumn("ts", F.col("ts").cast("timestamp"))
 
 
@@ -94,7 +94,7 @@ def stream_sliding_rate(spark, d):
         WHERE rn = 1""",
 )
 def stream_job_lifecycle(spark, d):
-    states = lifecycle_stream(fx.job_events(_events(spark, d)))
+    states = lifecycle_stream(fx.job_events(_events(spark, d, MAX_BYTES_PER_TRIGGER)))
     out, checkpoint = _out(spark, "lifecycle")
     with rocksdb_state(spark):
         st.run_batches(states, out, checkpoint, mode="update")

@@ -6,6 +6,7 @@ import sys
 from collections.abc import Iterator
 from contextlib import contextmanager
 
+import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
@@ -28,6 +29,9 @@ from lakekit.operators.lifecycle import (
 # Send the processor itself to the Python workers, which then need no copy of this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
+# A job's events of one micro-batch are sorted in one task, so its micro-batches are smaller.
+MAX_BYTES_PER_TRIGGER = 1 << 30
+
 _PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 _ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -63,7 +67,8 @@ class _Fold(StatefulProcessor):
         self.state = handle.getValueState("job", _STATE)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        events = pd.concat(list(rows)).sort_values(["ts", "event_id"])
+        events = pd.concat(list(rows), ignore_index=True)
+        events = events.iloc[np.lexsort((events["event_id"], events["ts"]))]
         held = self.state.get() if self.state.exists() else (PENDING, 0, None, None, None)
         status, failures, started, completed, error = held
         for ts, is_cancel, update, message in zip(
@@ -87,12 +92,18 @@ class _Fold(StatefulProcessor):
         started, completed = (None if v is None else int(v) for v in (started, completed))
         self.state.update((status, failures, started, completed, error))
         newest = events.iloc[-1]
-        row = (
-            key[0], int(newest["ts"]), int(newest["event_id"]), status,
-            min(failures, self.max_retries), started, completed, error,
+        yield pd.DataFrame(
+            {
+                "job_id": [key[0]],
+                "ts": [int(newest["ts"])],
+                "event_id": [int(newest["event_id"])],
+                "status_after": [status],
+                "retry_count": [min(failures, self.max_retries)],
+                "started_at": pd.array([started], dtype="Int64"),
+                "completed_at": pd.array([completed], dtype="Int64"),
+                "last_error": [error],
+            }
         )
-        out = pd.DataFrame([row], columns=_OUTPUT.fieldNames())
-        yield out.astype({"started_at": "Int64", "completed_at": "Int64"})
 
     def close(self) -> None:
         pass

@@ -12,7 +12,8 @@ from pyspark.sql import types as T
 
 from lakekit.functions.logs import add_labels, parse_log
 
-MAX_BYTES_PER_TRIGGER = 1 << 30
+# Bounds a micro-batch, and with it the rows that one key can bring to one task at a time.
+MAX_BYTES_PER_TRIGGER = 64 << 30
 
 
 def file_stream(
@@ -62,12 +63,18 @@ def run_batches(
 
 
 def ingest_logs(
-    spark: SparkSession, in_dir: str, out: str, checkpoint: str, labels: dict, glob: str = "*"
+    spark: SparkSession,
+    in_dir: str,
+    out: str,
+    checkpoint: str,
+    labels: dict,
+    glob: str = "*",
+    max_bytes: int = MAX_BYTES_PER_TRIGGER,
 ) -> None:
     """Follow log files from their head: parse, label, append. Offsets are kept in `checkpoint`."""
     lines = (
         spark.readStream.format("text")
-        .option("maxBytesPerTrigger", MAX_BYTES_PER_TRIGGER)
+        .option("maxBytesPerTrigger", max_bytes)
         .option("pathGlobFilter", glob)
         .load(in_dir)
         .withColumnRenamed("value", "line")

@@ -32,6 +32,8 @@ class Ordered:
         self.keys, self.order = list(keys), list(order)
         self.cold: DataFrame | None = df
         self.hot: DataFrame | None = None
+        self.runs = 0
+        self._settled = True
         limit = run_rows or default_run_rows(df)
         counts = df.groupBy(*keys).agg(F.count("*").alias("_rows")).filter(F.col("_rows") > limit)
         key = F.struct(*keys) if keys else F.lit(0)
@@ -47,10 +49,10 @@ class Ordered:
             keyed = keyed.join(F.broadcast(names), "_key", "left_semi")
         else:
             self.cold = None
-        runs = min(math.ceil(sum(row["_rows"] for row in found) / limit), MAX_RUNS)
+        self.runs = min(math.ceil(sum(row["_rows"] for row in found) / limit), MAX_RUNS)
         # The row number lets equal rows span runs, should `order` not tell all rows apart.
         numbered = keyed.withColumn("_tie", F.monotonically_increasing_id())
-        ranged = numbered.repartitionByRange(runs, *self.keys, *self.order, "_tie").drop("_tie")
+        ranged = numbered.repartitionByRange(self.runs, *self.keys, *self.order, "_tie").drop("_tie")
         # Written out so that the run numbers stay fixed for all later steps.
         self.hot = materialize(ranged.withColumn("_run", F.spark_partition_id()), "runs")
 
@@ -60,6 +62,17 @@ class Ordered:
     def _in_run(self) -> WindowSpec:
         return Window.partitionBy("_run", "_key").orderBy(*self.order)
 
+    def _by_run(self, df: DataFrame) -> DataFrame:
+        """One task for about one run, whatever number of shuffle partitions the session has."""
+        return df.repartition(self.runs, "_run", "_key")
+
+    def _settle(self) -> DataFrame:
+        """The hot rows, written out if a step before has only described them."""
+        if not self._settled:
+            self.hot = materialize(self.hot, "runs")
+        self._settled = False
+        return self.hot
+
     def map(self, change: Callable[[DataFrame], DataFrame]) -> Ordered:
         """Apply a row-by-row change."""
         self.cold = None if self.cold is None else change(self.cold)
@@ -72,9 +85,10 @@ class Ordered:
             self.cold = add(self.cold, self._plain())
         if self.hot is None:
             return self
+        hot = self._settle()
         newest = Window.partitionBy("_run", "_key").orderBy(*[F.desc(c) for c in self.order])
-        tail = self.hot.withColumn("_back", F.row_number().over(newest)).filter(F.col("_back") <= before)
-        row = F.struct(*[c for c in self.hot.columns if c != "_run"])
+        tail = hot.withColumn("_back", F.row_number().over(newest)).filter(F.col("_back") <= before)
+        row = F.struct(*[c for c in hot.columns if c != "_run"])
         seen = Window.partitionBy("_key").orderBy("_run", F.desc("_back")).rowsBetween(1 - before, 0)
         following = Window.partitionBy("_key").orderBy("_run")
         carried = (
@@ -85,9 +99,8 @@ class Ordered:
             .select("_run", F.explode("_carry").alias("_row"))
             .select("_run", "_row.*", F.lit(True).alias("_carried"))
         )
-        both = self.hot.withColumn("_carried", F.lit(False)).unionByName(carried)
-        done = add(both, self._in_run()).filter(~F.col("_carried")).drop("_carried")
-        self.hot = materialize(done, "runs")
+        both = self._by_run(hot.withColumn("_carried", F.lit(False)).unionByName(carried))
+        self.hot = add(both, self._in_run()).filter(~F.col("_carried")).drop("_carried")
         return self
 
     def running(self, sums: dict[str, Column] | None = None, lasts: dict[str, Column] | None = None) -> Ordered:
@@ -105,8 +118,9 @@ class Ordered:
             self.cold = local(self.cold, self._plain())
         if self.hot is None:
             return self
+        hot = self._settle()
         at = F.struct(*self.order)
-        summary = self.hot.groupBy("_run", "_key").agg(
+        summary = hot.groupBy("_run", "_key").agg(
             *[F.sum(c).alias("_before_" + n) for n, c in sums.items()],
             *[F.max_by(c, F.when(c.isNotNull(), at)).alias("_before_" + n) for n, c in lasts.items()],
         )
@@ -117,12 +131,11 @@ class Ordered:
             *[F.sum("_before_" + n).over(earlier).alias("_before_" + n) for n in sums],
             *[F.last("_before_" + n, ignorenulls=True).over(earlier).alias("_before_" + n) for n in lasts],
         )
-        joined = local(self.hot.join(carry, ["_run", "_key"]), self._in_run(), "_local_")
-        done = joined.withColumns(
+        joined = local(self._by_run(hot).join(carry, ["_run", "_key"]), self._in_run(), "_local_")
+        self.hot = joined.withColumns(
             {n: F.col("_local_" + n) + F.coalesce("_before_" + n, F.lit(0)) for n in sums}
             | {n: F.coalesce("_local_" + n, "_before_" + n) for n in lasts}
         ).drop(*["_local_" + n for n in [*sums, *lasts]], *["_before_" + n for n in [*sums, *lasts]])
-        self.hot = materialize(done, "runs")
         return self
 
     def result(self) -> DataFrame:

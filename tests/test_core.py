@@ -213,3 +213,9 @@ def test_map_merge(spark):
 def test_json_field(spark):
     df = spark.createDataFrame([('{"a": {"b": 7}}',), ("broken",), ('{"a": {"b": "x"}}',)], "j string")
     assert one(df.select(sc.json_field("j", "$.a.b", "int"))) == [7, None, None]
+
+
+def test_many_first_rows(spark):
+    df = spark.range(5000).select("id", (F.col("id") % 2).alias("k"))
+    got = p.topk_per(df, ["k"], "id", 1500).agg(F.min("id"), F.count("*")).first()
+    assert tuple(got) == (2000, 3000)

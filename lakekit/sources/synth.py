@@ -6,7 +6,6 @@ Values therefore do not depend on partitioning, and a lost task is recomputed to
 from __future__ import annotations
 
 import math
-import zlib
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -14,21 +13,13 @@ from pyspark.sql import functions as F
 
 Kind = Callable[[Column, int, str], Column]
 
-_WORD = 2**32
-
-
-def salt(seed: int, name: str) -> int:
-    return zlib.crc32(f"{seed}:{name}".encode())
+_BITS = 52  # exact in a double
 
 
 def _draw(row: Column, seed: int, name: str) -> Column:
-    """Uniform in [0, 1): the row number and the column's salt, mixed in 32-bit words."""
-    # Multipliers of a common integer mixing function.
-    low, high = row % 2**31, F.call_function("div", row, F.lit(2**31))
-    word = (low * 2654435761 + high % 2**31 * 40503 + salt(seed, name)) % _WORD
-    for _ in range(2):
-        word = word.bitwiseXOR(F.shiftright(word, 16)) * 73244475 % _WORD
-    return word.bitwiseXOR(F.shiftright(word, 16)).cast("double") / float(_WORD)
+    """Uniform in [0, 1)."""
+    hashed = F.xxhash64(F.lit(seed), F.lit(name), row)
+    return F.shiftrightunsigned(hashed, 64 - _BITS).cast("double") / float(2**_BITS)
 
 
 def sequence(start: int = 0) -> Kind:

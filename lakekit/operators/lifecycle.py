@@ -48,61 +48,108 @@ def lifecycle(
     Without `guard_terminal`, a late status update overwrites a final state; with it, the first
     final state stays.
     """
-    update = ~F.col("is_cancel")
-    rows = Ordered(events, ["job_id"], ORDER, run_rows).running(
-        sums={"_failures": F.when(F.col("status") == FAILED, 1).otherwise(0)},
-        lasts={"_last_status": F.when(update, F.col("status"))},
+    return _fold(_new_rows(events), max_retries, guard_terminal, run_rows)
+
+
+def final_states(events: DataFrame, max_retries: int = MAX_RETRIES, guard_terminal: bool = False) -> DataFrame:
+    """The state of each job after its last event."""
+    return advance(None, events, max_retries, guard_terminal)
+
+
+def advance(
+    states: DataFrame | None,
+    events: DataFrame,
+    max_retries: int = MAX_RETRIES,
+    guard_terminal: bool = False,
+    run_rows: int | None = None,
+) -> DataFrame:
+    """Job states after `events`, given the `states` (from this function) before them.
+
+    A known state enters as one row ahead of the job's new events.
+    """
+    rows = _new_rows(events)
+    if states is not None:
+        rows = _known_rows(states).unionByName(rows)
+    folded = _fold(rows, max_retries, guard_terminal, run_rows, keep=["_new"])
+    return first_rows(folded, ["job_id"], [F.desc(c) for c in ["_new", *ORDER]]).drop("_new")
+
+
+def _new_rows(events: DataFrame) -> DataFrame:
+    status, ts = F.col("status"), F.col("ts")
+    return events.select(
+        "job_id",
+        *ORDER,
+        F.lit(1).alias("_new"),
+        "status",
+        "is_cancel",
+        "error_message",
+        F.when(status == FAILED, 1).otherwise(0).alias("_failed"),
+        F.when(status == RUNNING, ts).alias("_started"),
+        F.when(status.isin(COMPLETING), ts).alias("_completed"),
     )
-    resting = _resting(F.col("_last_status"), F.col("_failures"), max_retries)
-    if guard_terminal:
-        return _guarded(rows, resting, max_retries)
-    rows = rows.sliding(1, lambda d, w: d.withColumn("_after_cancel", F.lag("is_cancel", 1).over(w)))
-    # A cancel request takes effect when it directly follows a status update that left the job open.
-    before = F.coalesce("_resting", F.lit(PENDING))
-    effective = (
-        F.col("is_cancel") & ~F.coalesce("_after_cancel", F.lit(False)) & ~before.isin(TERMINAL)
+
+
+def _known_rows(states: DataFrame) -> DataFrame:
+    return states.select(
+        "job_id",
+        *ORDER,
+        F.lit(0).alias("_new"),
+        F.col("status_after").alias("status"),
+        F.lit(False).alias("is_cancel"),
+        F.col("last_error").alias("error_message"),
+        F.col("retry_count").cast("int").alias("_failed"),
+        F.col("started_at").alias("_started"),
+        F.col("completed_at").alias("_completed"),
     )
-    completes = (update & F.col("status").isin(COMPLETING)) | effective
-    cancelled = F.col("is_cancel") & ~before.isin(TERMINAL)
-    rows = (
-        rows.map(lambda d: d.withColumn("_resting", resting))
-        .running(lasts=_marks(update, completes))
-        .map(lambda d: d.withColumn("status_after", F.when(cancelled, CANCELLED).otherwise(before)))
+
+
+def _fold(
+    rows: DataFrame, max_retries: int, guard_terminal: bool, run_rows: int | None, keep: list[str] = ()
+) -> DataFrame:
+    update = ~F.col("is_cancel")
+    counted = Ordered(rows, ["job_id"], ["_new", *ORDER], run_rows).running(
+        sums={"_failures": F.col("_failed")}, lasts={"_last_status": F.when(update, F.col("status"))}
+    )
+    resting = F.coalesce(_resting(F.col("_last_status"), F.col("_failures"), max_retries), F.lit(PENDING))
+    counted = counted.map(lambda d: d.withColumn("_resting", resting))
+    done = _guarded(counted, update) if guard_terminal else _overwriting(counted, update)
+    out = done.result().withColumn("retry_count", F.least("_failures", F.lit(max_retries)))
+    return out.select("job_id", *ORDER, *keep, *STATE)
+
+
+def _overwriting(rows: Ordered, update: Column) -> Ordered:
+    """Every status update counts. A cancel request counts if it finds the job open."""
+    still_open = ~F.col("_resting").isin(TERMINAL)
+    # Of several requests in a row, the first closes the job.
+    first = ~F.coalesce("_after_cancel", F.lit(False))
+    completed = F.when(update, F.col("_completed")).when(still_open & first, F.col("ts"))
+    status = F.when(~update & still_open, CANCELLED).otherwise(F.col("_resting"))
+    return (
+        rows.sliding(1, lambda d, w: d.withColumn("_after_cancel", F.lag("is_cancel", 1).over(w)))
+        .running(lasts=_marks(update, completed))
+        .map(lambda d: d.withColumn("status_after", status))
     )
-    return _finish(rows, max_retries)
 
 
-def _guarded(rows: Ordered, resting: Column, max_retries: int) -> DataFrame:
+def _guarded(rows: Ordered, update: Column) -> Ordered:
     """Nothing changes after the first event that leaves a final state."""
-    after = F.when(F.col("is_cancel"), CANCELLED).otherwise(resting)
-    rows = rows.map(lambda d: d.withColumn("_after", after)).running(
-        sums={"_finals": F.when(F.col("_after").isin(TERMINAL), 1).otherwise(0)}
+    after = F.when(update, F.col("_resting")).otherwise(CANCELLED)
+    final = F.col("_after").isin(TERMINAL)
+    rows = rows.map(lambda d: d.withColumn("_after", after)).running(sums={"_finals": F.when(final, 1).otherwise(0)})
+    counts = (F.col("_finals") == 0) | ((F.col("_finals") == 1) & final)
+    completed = F.when(counts, F.when(update, F.col("_completed")).otherwise(F.col("ts")))
+    return (
+        rows.map(lambda d: d.drop("_failures"))
+        .running(
+            sums={"_failures": F.when(counts, F.col("_failed")).otherwise(0)},
+            lasts=_marks(update & counts, completed) | {"status_after": F.when(counts, F.col("_after"))},
+        )
     )
-    first_final = (F.col("_finals") == 1) & F.col("_after").isin(TERMINAL)
-    counted = (F.col("_finals") == 0) | first_final
-    update = ~F.col("is_cancel") & counted
-    completes = (update & F.col("status").isin(COMPLETING)) | first_final
-    rows = rows.running(
-        sums={"_open_failures": F.when(update & (F.col("status") == FAILED), 1).otherwise(0)},
-        lasts=_marks(update, completes) | {"status_after": F.when(counted, F.col("_after"))},
-    ).map(lambda d: d.withColumn("_failures", F.col("_open_failures")).drop("_open_failures"))
-    return _finish(rows, max_retries)
-
-
-def _marks(update: Column, completes: Column) -> dict[str, Column]:
+
+
+def _marks(update: Column, completed: Column) -> dict[str, Column]:
     return {
-        "started_at": F.when(update & (F.col("status") == RUNNING), F.col("ts")),
-        "completed_at": F.when(completes, F.col("ts")),
+        "started_at": F.when(update, F.col("_started")),
+        "completed_at": completed,
         "last_error": F.when(update & (F.col("error_message") != ""), F.col("error_message")),
     }
-
-
-def _finish(rows: Ordered, max_retries: int) -> DataFrame:
-    out = rows.result().withColumn("retry_count", F.least("_failures", F.lit(max_retries)))
-    return out.select("job_id", *ORDER, *STATE)
-
-
-def final_states(events: DataFrame, max_retries: int = MAX_RETRIES, guard_terminal: bool = False) -> DataFrame:
-    """The state of each job after its last event."""
-    states = lifecycle(events, max_retries, guard_terminal)
-    return first_rows(states, ["job_id"], [F.desc(c) for c in ORDER])

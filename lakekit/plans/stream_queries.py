@@ -4,24 +4,23 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lakekit.operators.windows import first_rows
 from lakekit.plans import fixtures as fx
 from lakekit.plans.core_queries import LOGS
 from lakekit.plans.event_queries import LIFECYCLE, PARSED, plain_times
 from lakekit.plans.registry import query
 from lakekit.session import scratch_path
 from lakekit.streaming import streams as st
-from lakekit.streaming.lifecycle_stream import MAX_BYTES_PER_TRIGGER, lifecycle_stream, rocksdb_state
+from lakekit.streaming.lifecycle_stream import run_lifecycle
 
 DELAY = "1 hour"
 
 
-def _events(spark, d, max_bytes=st.MAX_BYTES_PER_TRIGGER):
+def _events(spark, d):
     """The events as a stream; a watermark needs the timestamp type.
 
     A stream takes a folder or a pattern, and this pattern fits both one file and a folder of files.
     """
-    source = st.file_stream(spark, f"{d.rstrip('/')}/{{events}}.parquet", fx.event_schema(spark, d), max_bytes=max_bytes)
+    source = st.file_stream(spark, f"{d.rstrip('/')}/{{events}}.parquet", fx.event_schema(spark, d))
     return source.withColumn("ts", F.col("ts").cast("timestamp"))
 
 
@@ -94,12 +93,11 @@ def stream_sliding_rate(spark, d):
         WHERE rn = 1""",
 )
 def stream_job_lifecycle(spark, d):
-    states = lifecycle_stream(fx.job_events(_events(spark, d, MAX_BYTES_PER_TRIGGER)))
     out, checkpoint = _out(spark, "lifecycle")
-    with rocksdb_state(spark):
-        st.run_batches(states, out, checkpoint, mode="update")
-    newest = first_rows(_stored(spark, out, states.schema), ["job_id"], [F.desc("ts"), F.desc("event_id")])
-    return plain_times(newest)
+    run_lifecycle(fx.job_events(_events(spark, d)), out, checkpoint)
+    states = spark.read.parquet(out)
+    newest = states.filter(F.col("batch") == states.agg(F.max("batch")).scalar())
+    return plain_times(newest.drop("batch"))
 
 
 @query(

@@ -1,15 +1,18 @@
-"""The job lifecycle as keyed streaming state."""
+"""The job lifecycle on a stream: as a state table by micro-batch, or as keyed state.
+
+`run_lifecycle` holds for micro-batches and jobs of any size. `lifecycle_stream` answers within a
+short trigger and can feed any sink, but takes a job's events of one micro-batch into one task.
+"""
 
 from __future__ import annotations
 
 import sys
 from collections.abc import Iterator
-from contextlib import contextmanager
 
 import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
@@ -24,7 +27,9 @@ from lakekit.operators.lifecycle import (
     QUEUED,
     RUNNING,
     TERMINAL,
+    advance,
 )
+from lakekit.streaming.streams import run_each
 
 # Send the processor itself to the Python workers, which then need no copy of this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -32,9 +37,6 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 # A job's events of one micro-batch are sorted in one task, so its micro-batches are smaller.
 MAX_BYTES_PER_TRIGGER = 1 << 30
 
-_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
-_ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-
 # Times are microseconds since the epoch in the state.
 _STATE = T.StructType(
     [
@@ -59,6 +61,27 @@ _OUTPUT = T.StructType(
 )
 
 
+def run_lifecycle(
+    sdf: DataFrame,
+    path: str,
+    checkpoint: str,
+    max_retries: int = MAX_RETRIES,
+    guard_terminal: bool = False,
+) -> None:
+    """Write the states of all jobs after each micro-batch to `path/batch=N`, until the input is used up.
+
+    Batch N starts from the states of batch N - 1, so running a batch again gives the same result.
+    """
+
+    def save(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        known = spark.read.parquet(f"{path}/batch={batch_id - 1}") if batch_id else None
+        states = advance(known, batch, max_retries, guard_terminal)
+        states.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+
+    run_each(sdf, save, checkpoint)
+
+
 class _Fold(StatefulProcessor):
     def __init__(self, max_retries: int, guard_terminal: bool):
         self.max_retries, self.guard_terminal = max_retries, guard_terminal
@@ -129,14 +152,3 @@ def lifecycle_stream(
     )
     times = {c: F.timestamp_micros(c) for c in ("ts", "started_at", "completed_at")}
     return states.withColumns(times)
-
-
-@contextmanager
-def rocksdb_state(spark: SparkSession):
-    """Keyed state needs the RocksDB provider while the query is started."""
-    before = spark.conf.get(_PROVIDER, None)
-    spark.conf.set(_PROVIDER, _ROCKSDB)
-    try:
-        yield
-    finally:
-        spark.conf.unset(_PROVIDER) if before is None else spark.conf.set(_PROVIDER, before)

@@ -6,15 +6,22 @@ the same frames can be started with any other trigger.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import DataStreamWriter
 
 from lakekit.functions.logs import add_labels, parse_log
 
 # Bounds a micro-batch, and with it the rows that one key can bring to one task at a time.
 MAX_BYTES_PER_TRIGGER = 64 << 30
 
+_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+_ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
 
 def file_stream(
     spark: SparkSession,
@@ -28,15 +35,31 @@ def file_stream(
     return (reader.schema(schema) if schema is not None else reader).load(path)
 
 
+@contextmanager
+def rocksdb_state(spark: SparkSession):
+    """Queries started inside keep their state in RocksDB, on disk instead of in memory."""
+    before = spark.conf.get(_PROVIDER, None)
+    spark.conf.set(_PROVIDER, _ROCKSDB)
+    try:
+        yield
+    finally:
+        spark.conf.unset(_PROVIDER) if before is None else spark.conf.set(_PROVIDER, before)
+
+
 def run_available(sdf: DataFrame, path: str, checkpoint: str, mode: str = "append") -> None:
     """Append to a Parquet dataset until the input is used up."""
-    query = (
-        sdf.writeStream.format("parquet")
-        .outputMode(mode)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start(path)
-    )
+    writer = sdf.writeStream.format("parquet").outputMode(mode).option("path", path)
+    _finish(sdf.sparkSession, writer, checkpoint)
+
+
+def run_each(sdf: DataFrame, save: Callable[[DataFrame, int], None], checkpoint: str, mode: str = "append") -> None:
+    """Call `save` with every micro-batch and its number until the input is used up."""
+    _finish(sdf.sparkSession, sdf.writeStream.foreachBatch(save).outputMode(mode), checkpoint)
+
+
+def _finish(spark: SparkSession, writer: DataStreamWriter, checkpoint: str) -> None:
+    with rocksdb_state(spark):
+        query = writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     query.awaitTermination()
 
 
@@ -52,14 +75,7 @@ def run_batches(
         rows = batch.orderBy(*order) if order else batch
         rows.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
 
-    query = (
-        sdf.writeStream.foreachBatch(save)
-        .outputMode(mode)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
-    query.awaitTermination()
+    run_each(sdf, save, checkpoint, mode)
 
 
 def ingest_logs(

@@ -6,8 +6,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from lakekit.operators.lifecycle import COMPLETING, TERMINAL, final_states, lifecycle
+from lakekit.operators.windows import first_rows
 from lakekit.streaming import streams as st
-from lakekit.streaming.lifecycle_stream import lifecycle_stream, rocksdb_state
+from lakekit.streaming.lifecycle_stream import lifecycle_stream, run_lifecycle
 
 SCHEMA = "job_id string, event_id long, ts timestamp, status string, is_cancel boolean, error_message string"
 ACTIONS = ["QUEUED", "PROVISIONING", "RUNNING", "SUCCESS", "FAILED", "FAILED", "CANCELLED", "DEAD", None, None]
@@ -67,25 +68,40 @@ def test_matches_fold(spark, seed, max_retries, run_rows, guard):
     assert got == fold(events, max_retries, guard)
 
 
-@pytest.mark.parametrize("guard", [False, True])
-def test_stream_ends_in_batch_state(spark, tmp_path, guard):
-    events = make_events(7)
-    source, out = str(tmp_path / "in"), str(tmp_path / "out")
+def in_four_files(spark, path, events):
     whole = frame(spark, events)
     for i in range(4):
         part = whole.filter(F.col("event_id").between(i * 100, i * 100 + 99))
-        part.coalesce(1).write.mode("append").parquet(source)
+        part.coalesce(1).write.mode("append").parquet(path)
+    return whole
+
+
+@pytest.mark.parametrize("guard", [False, True])
+def test_keyed_stream_ends_in_batch_state(spark, tmp_path, guard):
+    source, out = str(tmp_path / "in"), str(tmp_path / "out")
+    whole = in_four_files(spark, source, make_events(7))
     stream = lifecycle_stream(st.file_stream(spark, source, whole.schema, max_bytes=1), guard_terminal=guard)
-    with rocksdb_state(spark):
-        st.run_batches(stream, out, str(tmp_path / "ck"), mode="update")
+    st.run_batches(stream, out, str(tmp_path / "ck"), mode="update")
     newest = spark.read.schema(stream.schema).parquet(out)
-    from lakekit.operators.windows import first_rows
-
     newest = first_rows(newest, ["job_id"], [F.desc("ts"), F.desc("event_id")])
     assert states(newest) == states(final_states(whole, guard_terminal=guard))
     assert spark.read.parquet(out).select("batch").distinct().count() == 4
 
 
+@pytest.mark.parametrize("guard", [False, True])
+def test_state_table_after_each_batch(spark, tmp_path, guard):
+    source, out = str(tmp_path / "in"), str(tmp_path / "out")
+    events = make_events(8)
+    whole = in_four_files(spark, source, events)
+    run_lifecycle(st.file_stream(spark, source, whole.schema, max_bytes=1), out, str(tmp_path / "ck"), 1, guard)
+    for batch in range(4):
+        seen = whole.filter(F.col("event_id") < (batch + 1) * 100)
+        want = fold([e for e in events if e[1] < (batch + 1) * 100], 1, guard)
+        got = states(spark.read.parquet(f"{out}/batch={batch}"))
+        assert got == states(final_states(seen, 1, guard))
+        assert all(want[k] == v for k, v in got.items()) and len(got) == len({k[0] for k in want})
+
+
 def test_failures_beyond_the_limit(spark):
     events = [("a", i, 1_700_000_000 + i, "FAILED", False, "") for i in range(5)]
     got = states(lifecycle(frame(spark, events)))

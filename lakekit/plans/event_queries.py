@@ -392,18 +392,18 @@ def next_version(spark, d):
     return w.next_version(rows.withColumnRenamed("table_id", "c_custkey"), tables, "c_custkey")
 
 
-@query("apply_schema", "SELECT o_orderkey, o_orderstatus, o_totalprice, o_orderdate, o_orderkey % 2 = 0 AS is_even FROM orders")
+@query("apply_schema", "SELECT o_orderkey, o_orderstatus, o_totalprice, o_orderdate, o_totalprice > 250000 AS is_large FROM orders")
 def apply_schema(spark, d):
     text = fx.table(spark, d, "orders").select(
         *[F.col(c).cast("string") for c in ("o_orderkey", "o_orderstatus", "o_totalprice", "o_orderdate")],
-        (F.col("o_orderkey") % 2 == 0).cast("string").alias("is_even"),
+        (F.col("o_totalprice") > 250000).cast("string").alias("is_large"),
     )
     fields = [
         sch.Field("o_orderkey", "long", nullable=False, description="order id"),
         sch.Field("o_orderstatus", "string"),
         sch.Field("o_totalprice", "decimal"),
         sch.Field("o_orderdate", "timestamp"),
-        sch.Field("is_even", "boolean"),
+        sch.Field("is_large", "boolean"),
     ]
     typed = sch.apply_schema(text, fields)
     return typed.withColumns(
@@ -460,7 +460,7 @@ def sort_order_write(spark, d):
 def _snapshot_log(orders):
     """One snapshot for each order month; the first month of a year starts the table anew."""
     month = F.date_format("o_orderdate", "yyyyMM").cast("long")
-    operation = F.when(F.col("snapshot_id") % 100 == 1, "overwrite").otherwise("append")
+    operation = F.when(F.col("snapshot_id").cast("string").endswith("01"), "overwrite").otherwise("append")
     return (
         orders.groupBy(F.col("o_orderpriority").alias("table_id"), month.alias("snapshot_id"))
         .agg(F.max("o_orderdate").alias("created_at"))
@@ -474,7 +474,7 @@ SNAPSHOTS = """SELECT o_orderpriority AS table_id, CAST(strftime(o_orderdate, '%
 
 @query(
     "snapshot_log",
-    f"""SELECT *, CASE WHEN snapshot_id % 100 = 1 THEN 'overwrite' ELSE 'append' END AS operation,
+    f"""SELECT *, CASE WHEN right(snapshot_id::VARCHAR, 2) = '01' THEN 'overwrite' ELSE 'append' END AS operation,
                CAST(lag(snapshot_id) OVER (PARTITION BY table_id ORDER BY created_at, snapshot_id) AS VARCHAR) AS parent_id
         FROM ({SNAPSHOTS})""",
 )

@@ -53,8 +53,19 @@ def run_available(sdf: DataFrame, path: str, checkpoint: str, mode: str = "appen
 
 
 def run_each(sdf: DataFrame, save: Callable[[DataFrame, int], None], checkpoint: str, mode: str = "append") -> None:
-    """Call `save` with every micro-batch and its number until the input is used up."""
-    _finish(sdf.sparkSession, sdf.writeStream.foreachBatch(save).outputMode(mode), checkpoint)
+    """Call `save` with every micro-batch and its number until the input is used up.
+
+    The batch is kept while `save` runs, since a sort or a second pass would compute it again.
+    """
+
+    def kept(batch: DataFrame, batch_id: int) -> None:
+        batch.persist()
+        try:
+            save(batch, batch_id)
+        finally:
+            batch.unpersist()
+
+    _finish(sdf.sparkSession, sdf.writeStream.foreachBatch(kept).outputMode(mode), checkpoint)
 
 
 def _finish(spark: SparkSession, writer: DataStreamWriter, checkpoint: str) -> None:

@@ -32,7 +32,6 @@ def plan_of(spark, name):
         ("row_count", "ReadSchema: struct<>"),
         ("agg_by_two_keys", "ReadSchema: struct<l_extendedprice:double,l_returnflag:string,l_linestatus:string>"),
         ("object_inventory", "ReadSchema: struct<path:string,modificationTime:timestamp,length:bigint>"),
-        ("sink_multi_partitioned", "PartitionFilters: [isnotnull(o_orderstatus"),
         ("read_as_of", "PartitionFilters: [snapshot_id"),
         ("tail_n", "TakeOrderedAndProject"),
         ("topk_groups", "TakeOrderedAndProject"),
@@ -46,6 +45,13 @@ def test_plan_contains(spark, name, text):
     assert text in plan_of(spark, name)
 
 
+def test_readers_prune_two_keys(spark):
+    stored = contract.queries()["sink_multi_partitioned"](spark, SF)
+    text = plan(stored.filter((F.col("o_orderstatus") == "F") & (F.col("year") == "1998")))
+    assert "PartitionFilters: [isnotnull(o_orderstatus" in text and "(year#" in text.split("PartitionFilters")[1]
+    assert stored.filter("o_orderstatus = 'F' AND year = '1998'").select(F.input_file_name()).distinct().count() == 1
+
+
 @pytest.mark.parametrize("name", ["job_lifecycle", "moving_average", "schema_versioning", "latest_per_key", "dedup_report"])
 def test_shuffles(spark, name):
     body = plan_of(spark, name).split("\n\n")[0]

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from lakekit.functions.scalars import all_of, round2
 
-# Tax rate, bucket edges and labels, name rules.
+# Tax rate, bucket edges and labels, name rules, closed sets.
 TAX_RATE = "1.18"
 BUCKET_EDGES = [50, 200]
 BUCKET_LABELS = ["low", "medium", "high"]
@@ -18,6 +18,9 @@ IDENTIFIER = r"^[a-zA-Z_][a-zA-Z0-9_]*$"
 IDENTIFIER_LENGTH = (1, 255)
 BUCKET_NAME = r"^[a-z0-9][a-z0-9.-]*[a-z0-9]$"
 BUCKET_NAME_LENGTH = (3, 63)
+JOB_TYPES = ["spark_sql", "spark_etl", "spark_ml", "spark_streaming"]
+LOG_SOURCES = ["stdout", "stderr", "driver", "executor", "all"]
+TABLE_TYPES = ["ICEBERG", "DELTA", "HIVE", "PARQUET"]
 
 
 def with_tax(df: DataFrame, col: str, out: str = "amount_tax", rate: str = TAX_RATE) -> DataFrame:

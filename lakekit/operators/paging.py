@@ -9,8 +9,8 @@ from lakekit.functions.scalars import all_of
 from lakekit.operators.ordered import Ordered
 from lakekit.operators.windows import first_rows
 
-# A top-n gives the final task at most TOP_TASKS times n rows, however many files are read.
-TOP_TASKS = 4096
+# A top-n is read by so many tasks that the final one gets about this many rows, however many files there are.
+FINAL_ROWS = 20_000_000
 # Pages that end within this many rows come from a top-n; later ones from a distributed numbering.
 TOP_ROWS = 10_000
 PAGE_SIZES = (1, 100)
@@ -19,7 +19,8 @@ TAIL_SIZES = (1, 10_000)
 
 def top_rows(df: DataFrame, order: list[Column | str], n: int, skip: int = 0) -> DataFrame:
     """Rows `skip + 1` to `skip + n` by `order`; every task keeps only its own first rows."""
-    return df.coalesce(TOP_TASKS).orderBy(*order).offset(skip).limit(n)
+    tasks = max(FINAL_ROWS // (skip + n), 1)
+    return df.coalesce(tasks).orderBy(*order).offset(skip).limit(n)
 
 
 def sort_by(df: DataFrame, col: str, *ties: str) -> DataFrame:

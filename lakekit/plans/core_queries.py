@@ -70,9 +70,11 @@ def bool_flag(spark, d):
     return flagged.select("l_orderkey", "l_linenumber", "is_high_value")
 
 
-@query("stamp_processed_at")
+# The time itself has no SQL twin; that all rows carry the time of this query has.
+@query("stamp_processed_at", "SELECT event_id, true AS at_query_time FROM events")
 def stamp_processed_at(spark, d):
-    return t.stamp(fx.table(spark, d, "events", ["event_id"]))
+    stamped = t.stamp(fx.table(spark, d, "events", ["event_id"]))
+    return stamped.select("event_id", (F.col("processed_at") == F.current_timestamp()).alias("at_query_time"))
 
 
 @query("filter_gt", "SELECT * FROM orders WHERE o_totalprice > 1000")

@@ -6,8 +6,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from lakekit.operators.paging import keyset
-from lakekit.plans.fixtures import job_events, table
+from lakekit.plans.fixtures import table
 from lakekit.plans.registry import query
 from lakekit.session import scratch_path
 from lakekit.sources import synth as s

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -37,7 +39,8 @@ def inventory(spark: SparkSession, root: str, prefix: str = "") -> DataFrame:
     index leaves out objects of zero bytes.
     """
     base = root.rstrip("/") + "/"
-    key = F.regexp_extract("path", "^.*?" + _literal(base) + "(.*)$", 1)
+    place = re.sub(r"^[a-zA-Z0-9+]+:(//)?", "", base)
+    key = F.regexp_extract("path", "^.*?" + _literal(place) + "(.*)$", 1)
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(base)
     return files.select(
         key.alias("key"), F.col("length").alias("size"), F.col("modificationTime").alias("last_modified")

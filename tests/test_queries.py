@@ -7,6 +7,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as contract
+from lakekit.operators.transforms import stamp
 
 SF = "/root/testdata/sf0.001"
 
@@ -45,10 +46,23 @@ def test_query(spark, db, name):
     assert canonical(got.columns, got.collect()) == canonical(want.columns, want.fetchall())
 
 
+ORDERED = ["counter_rate", "moving_average", "schema_history", "snapshot_log", "job_lifecycle", "stream_job_lifecycle"]
+
+
+@pytest.mark.parametrize("name", ORDERED)
+def test_query_with_every_key_cut(spark, db, name):
+    spark.conf.set("spark.lakekit.runRows", "12")
+    try:
+        test_query(spark, db, name)
+    finally:
+        spark.conf.unset("spark.lakekit.runRows")
+
+
 def test_entry(spark):
     assert contract.entry(spark).count() > 0
 
 
-def test_stamp_is_one_value(spark):
-    stamped = contract.queries()["stamp_processed_at"](spark, SF)
-    assert stamped.select("processed_at").distinct().count() == 1
+def test_stamp_is_one_recent_value(spark):
+    before = dt.datetime.now()
+    times = stamp(spark.range(1000, numPartitions=8)).select("processed_at").distinct().collect()
+    assert len(times) == 1 and before - dt.timedelta(seconds=1) <= times[0][0] <= dt.datetime.now()

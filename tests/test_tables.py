@@ -93,7 +93,8 @@ def test_inventory(spark, tmp_path):
     (tmp_path / "b.bin").write_bytes(b"1")
     got = inventory(spark, str(tmp_path)).collect()
     assert {(r["key"], r["size"]) for r in got} == {("a/x.bin", 5), ("b.bin", 1)}
-    assert [r["key"] for r in inventory(spark, str(tmp_path), "a/").collect()] == ["a/x.bin"]
+    for root in (str(tmp_path), f"file://{tmp_path}"):
+        assert [r["key"] for r in inventory(spark, root, "a/").collect()] == ["a/x.bin"]
 
 
 def test_declared_types(spark):

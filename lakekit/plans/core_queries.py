@@ -23,8 +23,8 @@ PRODUCT = "(l_quantity * l_extendedprice)"
 
 
 def rounded(value: str) -> str:
-    """Half-up rounding of a double's decimal digits, as Spark does it."""
-    return f"CAST(round(CAST(CAST({value} AS VARCHAR) AS DECIMAL(38,15)), 2) AS DOUBLE)"
+    """Half-up rounding of a double's decimal digits, as Spark does it; 25 places hold all of them."""
+    return f"CAST(round(CAST(CAST({value} AS VARCHAR) AS DECIMAL(38,25)), 2) AS DOUBLE)"
 
 
 PREPARED = f"""

@@ -4,7 +4,7 @@ Jaccard distance is a metric, but documents that share nothing all lie at distan
 at random separate nothing. Pivots are therefore elected by what documents share:
 
 1. A document's prefix is its (1 - t) part of rarest shingles; two documents with similarity t or more share a prefix
-   shingle (any fixed order of shingles is right; rarest first makes shared ones few). The smallest document that holds
+   shingle. Any fixed order of shingles is right; rarest first, by a sketch of counts over all documents, makes shared ones few. The smallest document that holds
    a shingle in its prefix becomes that shingle's pivot. A pivot's Voronoi region holds every document that elected it; a
    document which several pivots claim is replicated to each of their regions, so each linked pair meets in some region.
 2. In a region, distances to the pivot are computed once. Documents within the radius r = 1 - t link to the pivot
@@ -34,7 +34,8 @@ from pyspark.sql import functions as F
 from lakekit.llm.common import chunks, find_words, hash_words, inside_one, list_array, materialize, roll
 from lakekit.llm.components import components
 
-FREQUENT = 1 << 20  # shingles whose approximate document count orders prefixes; 12 bytes each in every task
+BIN_BITS = 27  # bins of the shingle count sketch; two bits each, 32 MB in every Python worker
+RANGE_BITS = 8  # the sketch is counted in so many ranges, one task each
 FLUSH = 4 << 20  # shingles that a task counts together
 
 
@@ -62,13 +63,22 @@ def shingle_sets(data, offsets, k: int) -> tuple[np.ndarray, np.ndarray]:
     return value[new], np.concatenate([[0], np.cumsum(np.bincount(doc[new], minlength=n))])
 
 
-def _repeated(text: str, k: int):
-    """Shingles that several documents of one task hold, with the count."""
+def _bins(text: str, k: int):
+    """(range, block) of a task's shingles, once for each document: compressed gaps between their sorted bins."""
+    inner = np.uint64(64 - BIN_BITS)
 
-    def count(parts):
-        value, n = np.unique(np.concatenate(parts), return_counts=True)
-        more = n > 1
-        return pa.record_batch({"shingle": value[more].view(np.int64), "n": n[more].astype(np.int64)})
+    def pack(parts):
+        bins = np.sort((np.concatenate(parts) >> inner).astype(np.int64))
+        part = bins >> (BIN_BITS - RANGE_BITS)
+        cuts = np.flatnonzero(np.diff(part, prepend=-1, append=-1))
+        low = bins & ((1 << (BIN_BITS - RANGE_BITS)) - 1)
+        blocks = []
+        for a, b in zip(cuts[:-1], cuts[1:]):
+            gaps = np.diff(low[a:b], prepend=0)
+            wide = gaps > 254
+            raw = np.where(wide, 255, gaps).astype(np.uint8).tobytes() + gaps[wide].astype(np.uint32).tobytes()
+            blocks.append(np.array([b - a, len(raw)], np.int64).tobytes() + pa.compress(raw, codec="zstd", asbytes=True))
+        return pa.record_batch({"range": part[cuts[:-1]], "block": pa.array(blocks, pa.binary())})
 
     def run(batches):
         parts, size = [], 0
@@ -77,37 +87,41 @@ def _repeated(text: str, k: int):
                 parts.append(shingle_sets(data, offsets, k)[0])
                 size += len(parts[-1])
                 if size >= FLUSH:
-                    yield count(parts)
+                    yield pack(parts)
                     parts, size = [], 0
-        if parts:
-            yield count(parts)
+        if size:
+            yield pack(parts)
 
     return run
 
 
+def _levels(table: pa.Table) -> pa.Table:
+    """Two bits for each bin of a range: 0 for a single shingle, then by how far the count is above the mean."""
+    counts = np.zeros(1 << (BIN_BITS - RANGE_BITS), np.int64)
+    for block in table.column("block").to_pylist():
+        n, size = np.frombuffer(block, np.int64, 2).tolist()
+        raw = pa.decompress(block[16:], decompressed_size=size, codec="zstd", asbytes=True)
+        gaps = np.frombuffer(raw, np.uint8, n).astype(np.int64)
+        gaps[gaps == 255] = np.frombuffer(raw, np.uint32, offset=n)
+        counts += np.bincount(np.cumsum(gaps), minlength=len(counts))
+    mean = counts.mean()
+    level = np.digitize(counts, [2, 2 * mean + 3, 16 * mean + 16]).astype(np.uint8).reshape(-1, 4)
+    packed = level[:, 0] | (level[:, 1] << 2) | (level[:, 2] << 4) | (level[:, 3] << 6)
+    return pa.table({"range": pa.array([table.column("range")[0].as_py()]), "levels": pa.array([packed.tobytes()], pa.binary())})
+
+
 class Order:
-    """Rarest-first order of shingles: by the approximate count of the frequent ones, then by hash."""
-
-    def __init__(self, shingles: np.ndarray, counts: np.ndarray):
-        by = np.argsort(shingles)
-        self.shingles, self.counts = shingles[by], counts[by]
-        self._seen = None
-
-    def count(self, s: np.ndarray) -> np.ndarray:
-        if not len(self.shingles):
-            return np.zeros(len(s), np.int64)
-        if self._seen is None:
-            self._seen = np.zeros(1 << 24, bool)
-            self._seen[self.shingles >> np.uint64(40)] = True
-        out = np.zeros(len(s), np.int64)
-        maybe = np.flatnonzero(self._seen[s >> np.uint64(40)])
-        at = np.minimum(np.searchsorted(self.shingles, s[maybe]), len(self.shingles) - 1)
-        hit = self.shingles[at] == s[maybe]
-        out[maybe[hit]] = self.counts[at[hit]]
-        return out
+    """Rarest-first order of shingles: by level, then by hash. A shingle of level 0 is in one document only."""
+
+    def __init__(self, ranges: pa.Table):
+        self.levels = np.zeros(1 << (BIN_BITS - 2), np.uint8)
+        size = len(self.levels) >> RANGE_BITS
+        for at, levels in zip(ranges.column("range").to_pylist(), ranges.column("levels").to_pylist()):
+            self.levels[at * size : (at + 1) * size] = np.frombuffer(levels, np.uint8)
 
-    def __getstate__(self):
-        return {"shingles": self.shingles, "counts": self.counts, "_seen": None}
+    def level(self, s: np.ndarray) -> np.ndarray:
+        at = s >> np.uint64(64 - BIN_BITS)
+        return (self.levels[at >> np.uint64(2)] >> ((at & np.uint64(3)) << np.uint64(1)).astype(np.uint8)) & np.uint8(3)
 
 
 def _need(n: int, percent: int) -> int:
@@ -121,15 +135,14 @@ def _features(doc_id: str, text: str, k: int, percent: int, order):
         for batch in batches:
             for part, data, offsets in chunks(batch, text):
                 s, at = shingle_sets(data, offsets, k)
-                freq = order.value.count(s)
-                common = np.add.reduceat(np.append(freq, 0), np.minimum(at[:-1], len(freq))) if len(at) > 1 else []
+                level = order.value.level(s)
                 prefix, digest, size = [], [], np.diff(at)
-                for i, (a, b) in enumerate(zip(at[:-1], at[1:])):
+                for a, b in zip(at[:-1], at[1:]):
                     own, n = s[a:b], int(b - a)
                     digest.append(hashlib.blake2b(own.tobytes(), digest_size=16).digest() if n else None)
-                    if n and common[i]:
-                        own = own[np.argsort(freq[a:b], kind="stable")]
-                    prefix.append(own[: n - _need(n, percent) + 1] if n else own)
+                    rank = np.argsort(level[a:b], kind="stable")[: n - _need(n, percent) + 1]
+                    # What is in this document only is part of the prefix, but can elect nobody.
+                    prefix.append(own[rank[level[a:b][rank] > 0]])
                 lengths = np.array([len(p) for p in prefix], np.int64)
                 values = np.concatenate(prefix) if prefix else np.zeros(0, np.uint64)
                 yield pa.record_batch(
@@ -247,7 +260,7 @@ def _differences(percent: int, order):
             for x, c in zip(batch.column("items").to_pylist(), batch.column("centre")):
                 x, c = np.frombuffer(x, np.uint64), np.asarray(c.values).astype(np.int64).view(np.uint64)
                 d = np.setxor1d(x, c, assume_unique=True)
-                deltas.append(d[np.argsort(order.value.count(d), kind="stable")].view(np.int64))
+                deltas.append(d[np.argsort(order.value.level(d), kind="stable")].view(np.int64))
                 slack.append((100 - percent) * len(x) - (100 + percent) * len(d))
             lengths = np.array([len(d) for d in deltas], np.int64)
             yield pa.record_batch(
@@ -305,18 +318,6 @@ def _split(crowded: DataFrame, percent: int, order) -> tuple[DataFrame, DataFram
     return links, materialize(deeper, "level")
 
 
-def _most_frequent(counts: DataFrame) -> pa.Table:
-    """The shingles above the lowest count that at most FREQUENT of them reach; found from how many have each count."""
-    counts = materialize(counts, "frequent")
-    least, have = 2, 0
-    for n, shingles in counts.groupBy("n").count().orderBy(F.desc("n")).toLocalIterator():
-        have += shingles
-        if have > FREQUENT:
-            least = n + 1
-            break
-    return counts.where(F.col("n") >= least).toArrow()
-
-
 def _elect(tokens: DataFrame) -> DataFrame:
     """(region, doc_id): the documents that elected one pivot by a shared token, and the pivot."""
     chosen = tokens.groupBy("token").agg(F.min("doc_id").alias("pivot"), F.max("doc_id").alias("last")).where("pivot <> last")
@@ -345,11 +346,13 @@ def jaccard_components(
     """
     spark = docs.sparkSession
     docs = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-    counted = docs.select("text").mapInArrow(_repeated("text", shingle_words), "shingle long, n long")
-    frequent = _most_frequent(counted.groupBy("shingle").agg(F.sum("n").alias("n")))
-    order = spark.sparkContext.broadcast(
-        Order(frequent.column(0).to_numpy().astype(np.int64).view(np.uint64), frequent.column(1).to_numpy())
+    levels = (
+        docs.select("text")
+        .mapInArrow(_bins("text", shingle_words), "range long, block binary")
+        .groupBy("range")
+        .applyInArrow(_levels, "range long, levels binary")
     )
+    order = spark.sparkContext.broadcast(Order(levels.toArrow()))
     features = materialize(
         docs.mapInArrow(
             _features("doc_id", "text", shingle_words, percent, order),
@@ -367,9 +370,9 @@ def jaccard_components(
     sets = materialize(
         docs.where("doc_id is not null")
         .join(level.select("doc_id").distinct(), "doc_id", "left_semi")
+        .dropDuplicates(["doc_id", "text"])  # on the join's partitioning
         .mapInArrow(_sets("doc_id", "text", shingle_words), "doc_id long, items binary")
-        .where("length(items) > 0")
-        .distinct(),
+        .where("length(items) > 0"),
         "sets",
     )
     edges = [copies]

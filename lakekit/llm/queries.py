@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from lakekit.llm.common import read
+from lakekit.llm.decontaminate import find_contamination, is_contaminated
 from lakekit.llm.ngram_jaccard import jaccard_components
+from lakekit.llm.secrets import find_secrets
+from lakekit.llm.substring_dedup import remove_repeats
 
 QUERIES = {}
 ORACLES = {}
@@ -22,3 +27,31 @@ def query(name, sql=None):
 @query("op1_ngram_jaccard_join")
 def op1(spark, sf_dir):
     return jaccard_components(read(spark, sf_dir, "documents"), shingle_words=4, percent=85)
+
+
+@query("op3_benchmark_decontamination")
+def op3(spark, sf_dir):
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    found = find_contamination(docs, read(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        F.size("hit_words").cast("long").alias("n_hit"),
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"),
+        is_contaminated(F.size("hit_words"), F.col("n_words")).alias("contaminated"),
+    )
+
+
+@query("op5_secret_scans")
+def op5(spark, sf_dir):
+    found = find_secrets(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select(
+        "doc_id", "n_assign", "n_access", "n_hex", F.sha2("base_spans", 256).alias("base_sha256"), "spans"
+    )
+
+
+@query("op7_substring_dedup")
+def op7(spark, sf_dir):
+    kept = remove_repeats(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))

@@ -158,14 +158,14 @@ def list_array(values: np.ndarray, lengths: np.ndarray, kind=None) -> pa.ListArr
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values, kind))
 
 
-_scratch: list[str] = []
+scratch: list[str] = []  # folders written by this process, oldest first
 
 
 def materialize(df: DataFrame, label: str, partition_by: list[str] | None = None) -> DataFrame:
     """Write `df` once to shared storage and read it back: fixed rows, and no lineage beyond this point."""
     spark = df.sparkSession
     path = scratch_path(spark, label)
-    _scratch.append(path)
+    scratch.append(path)
     writer = df.write.partitionBy(*partition_by) if partition_by else df.write
     writer.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
@@ -173,17 +173,19 @@ def materialize(df: DataFrame, label: str, partition_by: list[str] | None = None
 
 def scratch_folder(spark: SparkSession, label: str) -> str:
     path = scratch_path(spark, label)
-    _scratch.append(path)
+    scratch.append(path)
     return path
 
 
-def release(spark: SparkSession) -> None:
-    """Delete the scratch tables written so far; call it once the results that read them are stored."""
-    jvm = spark.sparkContext._jvm
+def release(spark: SparkSession, paths: list[str] | None = None) -> None:
+    """Delete scratch folders (all of them by default); call it once the results that read them are stored."""
+    paths = scratch if paths is None else paths
     conf = spark.sparkContext._jsc.hadoopConfiguration()
-    while _scratch:
-        path = jvm.org.apache.hadoop.fs.Path(_scratch.pop())
+    while paths:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(name := paths.pop())
         path.getFileSystem(conf).delete(path, True)
+        if name in scratch:
+            scratch.remove(name)
 
 
 def fresh(df: DataFrame, *names: str) -> list[str]:

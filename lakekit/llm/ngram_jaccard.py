@@ -10,6 +10,8 @@ at random separate nothing. Pivots are therefore elected by what documents share
 2. In a region, distances to the pivot are computed once. Documents within the radius r = 1 - t link to the pivot
    and need no further comparing with each other. The others compare with documents in their triangle-inequality window
    |d(x, p) - d(y, p)| <= r, and only across components that are not connected yet.
+   Before that, documents whose profiles (shingle counts by hash class, whose distance never exceeds the documents' own) are
+   too far from every other of the region leave it, so that whole sets are fetched for few.
 3. A region above `region_docs` documents or `region_bytes` of sets is joined recursively. Its pivot becomes the set of the shingles
    that at least half of its documents hold, and documents are written as their differences D to it. Sets link when
    (100 + percent) |x - y| <= (100 - percent) (|x| + |y|) in differing elements, and |x - y| = |Dx| + |Dy| - 2 |Dx & Dy|; so with
@@ -34,9 +36,10 @@ from pyspark.sql import functions as F
 from lakekit.llm.common import chunks, find_words, hash_words, inside_one, list_array, materialize, roll
 from lakekit.llm.components import components
 
-BIN_BITS = 27  # bins of the shingle count sketch; two bits each, 32 MB in every Python worker
-RANGE_BITS = 8  # the sketch is counted in so many ranges, one task each
+BIN_BITS = 24  # bins of the shingle count sketch; two bits each, 4 MB in every Python worker
+RANGE_BITS = 6  # the sketch is counted in so many ranges, one task each
 FLUSH = 4 << 20  # shingles that a task counts together
+CLASSES = 128  # hash classes of a document's profile, two bytes each
 
 
 def shingle_sets(data, offsets, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -111,7 +114,7 @@ def _levels(table: pa.Table) -> pa.Table:
 
 
 class Order:
-    """Rarest-first order of shingles: by level, then by hash. A shingle of level 0 is in one document only."""
+    """Rarest-first order of shingles: by level, then by hash."""
 
     def __init__(self, ranges: pa.Table):
         self.levels = np.zeros(1 << (BIN_BITS - 2), np.uint8)
@@ -137,12 +140,14 @@ def _features(doc_id: str, text: str, k: int, percent: int, order):
                 s, at = shingle_sets(data, offsets, k)
                 level = order.value.level(s)
                 prefix, digest, size = [], [], np.diff(at)
+                doc = np.repeat(np.arange(len(size)), size)
+                profile = np.bincount(doc * CLASSES + (s % np.uint64(CLASSES)).astype(np.int64), minlength=len(size) * CLASSES)
+                profile = np.minimum(profile.reshape(-1, CLASSES), 0xFFFF).astype(np.uint16)
                 for a, b in zip(at[:-1], at[1:]):
                     own, n = s[a:b], int(b - a)
                     digest.append(hashlib.blake2b(own.tobytes(), digest_size=16).digest() if n else None)
                     rank = np.argsort(level[a:b], kind="stable")[: n - _need(n, percent) + 1]
-                    # What is in this document only is part of the prefix, but can elect nobody.
-                    prefix.append(own[rank[level[a:b][rank] > 0]])
+                    prefix.append(own[rank])
                 lengths = np.array([len(p) for p in prefix], np.int64)
                 values = np.concatenate(prefix) if prefix else np.zeros(0, np.uint64)
                 yield pa.record_batch(
@@ -150,6 +155,7 @@ def _features(doc_id: str, text: str, k: int, percent: int, order):
                         "doc_id": part.column(doc_id).cast(pa.int64()),
                         "n_shingles": size.astype(np.int64),
                         "digest": pa.array(digest, pa.binary()),
+                        "profile": pa.array([x.tobytes() for x in profile], pa.binary()),
                         "prefix": list_array(values.view(np.int64), lengths),
                     }
                 )
@@ -239,6 +245,34 @@ def _join_region(percent: int):
     return run
 
 
+def _may_link(percent: int):
+    """The (region, doc_id) of a region that may link to another of its documents, by profiles alone.
+
+    Profiles count shingles by hash class, so the sum of class minima is at least the intersection: distance between profiles never
+    exceeds the documents' own, and nothing that links is lost. A class count at its limit of 65535 proves nothing and passes.
+    """
+
+    def run(table: pa.Table) -> pa.Table:
+        table = table.sort_by([("n_shingles", "ascending")])
+        size = table.column("n_shingles").to_numpy()
+        profile = np.stack([np.frombuffer(x, np.uint16) for x in table.column("profile").to_pylist()])
+        full = (profile == 0xFFFF).any(1)
+        keep = np.zeros(len(size), bool)
+        last = np.searchsorted(size, size * 100 // percent, side="right")
+        for i in range(len(size)):
+            others = np.arange(i + 1, last[i])
+            if not len(others) or (keep[i] and keep[others].all()):
+                continue
+            most = np.minimum(profile[others], profile[i]).sum(1, dtype=np.int64)
+            most[full[others] | full[i]] = size[i]
+            near = others[_linked(most, size[others], size[i], percent)]
+            if len(near):
+                keep[i] = keep[near] = True
+        return pa.table({"region": table.column("region"), "doc_id": table.column("doc_id")}).filter(pa.array(keep))
+
+    return run
+
+
 def _items(batches):
     for batch in batches:
         sets = [np.frombuffer(x, np.int64) for x in batch.column("items").to_pylist()]
@@ -356,17 +390,29 @@ def jaccard_components(
     features = materialize(
         docs.mapInArrow(
             _features("doc_id", "text", shingle_words, percent, order),
-            "doc_id long, n_shingles long, digest binary, prefix array<long>",
+            "doc_id long, n_shingles long, digest binary, profile binary, prefix array<long>",
         ),
         "shingles",
     )
     known = features.where("doc_id is not null and n_shingles > 0")
     classes = known.groupBy("digest").agg(F.min("doc_id").alias("rep"))
     copies = known.select("digest", "doc_id").join(classes, "digest").where("doc_id <> rep").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
-    # One prefix for each class: copies are alike, so any of theirs will do.
-    prefixes = known.groupBy("digest").agg(F.min("doc_id").alias("doc_id"), F.first("prefix").alias("prefix"))
+    # One row for each class: copies are alike, so any of theirs will do.
+    alike = [F.first(c).alias(c) for c in ("n_shingles", "profile", "prefix")]
+    prefixes = known.groupBy("digest").agg(F.min("doc_id").alias("doc_id"), *alike)
     tokens = prefixes.select("doc_id", F.explode("prefix").alias("token"))
-    level = materialize(_elect(tokens), "level")
+    elected = materialize(_elect(tokens), "elected")
+    crowds = elected.groupBy("region").agg((F.count("*") > region_docs).alias("large"))
+    profiles = prefixes.select("doc_id", "n_shingles", "profile")
+    placed = elected.join(crowds, "region")
+    near = (
+        placed.where("not large")
+        .join(profiles, "doc_id")
+        .select("region", "doc_id", "n_shingles", "profile")
+        .groupBy("region")
+        .applyInArrow(_may_link(percent), "region long, doc_id long")
+    )
+    level = materialize(near.unionByName(placed.where("large").select("region", "doc_id")), "level")
     sets = materialize(
         docs.where("doc_id is not null")
         .join(level.select("doc_id").distinct(), "doc_id", "left_semi")

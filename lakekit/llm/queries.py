@@ -4,11 +4,19 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lakekit.llm.common import read
+from lakekit.llm.common import materialize, read
 from lakekit.llm.decontaminate import find_contamination, is_contaminated
+from lakekit.llm.mixing import count_words, plan_mix
 from lakekit.llm.ngram_jaccard import jaccard_components
+from lakekit.llm.packing import pack_documents, sequences
+from lakekit.llm.quality_classifier import score_quality
+from lakekit.llm.quality_rules import apply_quality_rules
 from lakekit.llm.secrets import find_secrets
+from lakekit.llm.sharding import assign_shards
 from lakekit.llm.substring_dedup import remove_repeats
+from lakekit.llm.warc import archive_round_trip
+
+VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"  # unless spark.lakekit.vocabulary names another
 
 QUERIES = {}
 ORACLES = {}
@@ -55,3 +63,84 @@ def op5(spark, sf_dir):
 def op7(spark, sf_dir):
     kept = remove_repeats(read(spark, sf_dir, "documents").select("doc_id", "text"))
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+@query("op2_mixing_sources")
+def op2(spark, sf_dir):
+    docs = read(spark, sf_dir, "documents")
+    sizes = docs.select("doc_id", "source", count_words(F.col("text")).alias("size"), F.xxhash64("text").alias("tie"))
+    return plan_mix(materialize(sizes, "sizes")).select("doc_id", "size", "source_size", "target", "taken")
+
+
+SHARD_BYTES = 64 << 20
+
+
+@query(
+    "op6_sharding",
+    f"""
+    WITH d AS (
+      SELECT doc_id, coalesce(strlen(text), 0) AS n_bytes,
+             ('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '')), 1, 15))::BIGINT AS h
+      FROM documents),
+    n AS (
+      SELECT k, h >> (60 - k) AS p, sum(n_bytes) AS b, count(*) AS c
+      FROM d, range(0, 40) AS t(k) GROUP BY ALL),
+    f AS (
+      SELECT d.doc_id, d.n_bytes, n.k, n.p, n.b, n.c
+      FROM d JOIN n ON n.p = d.h >> (60 - n.k) WHERE n.b <= {SHARD_BYTES} OR n.c = 1
+      QUALIFY row_number() OVER (PARTITION BY d.doc_id, d.h ORDER BY n.k) = 1)
+    SELECT doc_id, CAST(n_bytes AS BIGINT) AS n_bytes,
+           CASE WHEN k = 0 THEN '' ELSE right(repeat('0', 60) || bin(p), CAST(k AS BIGINT)) END AS shard,
+           CAST(b AS BIGINT) AS shard_bytes, CAST(c AS BIGINT) AS shard_docs
+    FROM f
+    """,
+)
+def op6(spark, sf_dir):
+    docs = read(spark, sf_dir, "documents").select("doc_id", F.octet_length("text").alias("size"))
+    shards = assign_shards(docs, size="size", limit_bytes=SHARD_BYTES)
+    return shards.select("doc_id", "n_bytes", "shard", "shard_bytes", "shard_docs")
+
+
+@query("op8_quality_rules")
+def op8(spark, sf_dir):
+    judged = apply_quality_rules(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    return judged.drop("text")
+
+
+@query("op10_quality_classifier")
+def op10(spark, sf_dir):
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = score_quality(docs, read(spark, sf_dir, "labels"))
+    return scored.select("doc_id", "held_out", "score", "predicted")
+
+
+@query(
+    "op9_warc",
+    """
+    WITH p AS (
+      SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS payload_digest,
+             CAST(strlen(coalesce(html, '')) AS BIGINT) AS payload_bytes
+      FROM pages),
+    o AS (SELECT payload_digest AS d, max(page_id) AS owner FROM p WHERE payload_bytes >= 1000 GROUP BY 1)
+    SELECT page_id, payload_bytes, payload_digest,
+           CASE WHEN owner IS NOT NULL AND owner <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+           CASE WHEN owner <> page_id THEN owner END AS refers_to
+    FROM p LEFT JOIN o ON p.payload_digest = o.d AND p.payload_bytes >= 1000
+    """,
+)
+def op9(spark, sf_dir):
+    return archive_round_trip(read(spark, sf_dir, "pages")).drop("url")
+
+
+@query("op4_token_packing")
+def op4(spark, sf_dir):
+    vocabulary = spark.conf.get("spark.lakekit.vocabulary", VOCABULARY)
+    packed = materialize(pack_documents(read(spark, sf_dir, "documents"), vocabulary), "matrices")
+    return sequences(packed).select(
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("positions", 256).alias("positions_sha256"),
+        F.element_at("cu_seqlens", -1).cast("long").alias("n_ids"),
+        "cu_seqlens",
+        "doc_ids",
+        "parts",
+    )

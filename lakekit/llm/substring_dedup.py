@@ -22,6 +22,7 @@ from lakekit.llm.common import NOT_SPACE, Words, chunks, cover, find_words, fres
 
 FLUSH_BYTES = 24 << 20  # text that a task packs together
 SEEN_OFTEN = 8  # packed strings of one minimiser in a flush before the first pass reports it
+LEVEL = 6  # of block compression
 LAST = np.iinfo(np.int64).max  # stands for a null doc_id
 
 
@@ -107,7 +108,7 @@ def _block(strings: list[bytes], doc, tag, position, windows) -> bytes:
     body = b"\n".join(strings)
     parts = [np.array([len(doc), len(body)], np.int64), np.diff(doc, prepend=np.int64(0)), tag, position, windows]
     raw = b"".join(p.tobytes() for p in parts) + body
-    return np.int64(len(raw)).tobytes() + pa.compress(raw, codec="zstd", asbytes=True)
+    return np.int64(len(raw)).tobytes() + pa.Codec("zstd", compression_level=LEVEL).compress(raw, asbytes=True)
 
 
 def _unblock(block: bytes):

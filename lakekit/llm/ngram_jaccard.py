@@ -4,8 +4,8 @@ Jaccard distance is a metric, but documents that share nothing all lie at distan
 at random separate nothing. Pivots are therefore elected by what documents share:
 
 1. A document's prefix is its (1 - t) part of rarest shingles; two documents with similarity t or more share a prefix
-   shingle. Any fixed order of shingles is right; rarest first, by a sketch of counts over all documents, makes shared ones few. The smallest document that holds
-   a shingle in its prefix becomes that shingle's pivot. A pivot's Voronoi region holds every document that elected it; a
+   shingle. Any fixed order of shingles is right; rarest first, by a sketch of counts over all documents, makes shared ones few. The first class of equal documents that
+   holds a shingle in its prefix becomes that shingle's pivot. A pivot's Voronoi region holds every document that elected it; a
    document which several pivots claim is replicated to each of their regions, so each linked pair meets in some region.
 2. In a region, distances to the pivot are computed once. Documents within the radius r = 1 - t link to the pivot
    and need no further comparing with each other. The others compare with documents in their triangle-inequality window
@@ -155,6 +155,7 @@ def _features(doc_id: str, text: str, k: int, percent: int, order):
                         "doc_id": part.column(doc_id).cast(pa.int64()),
                         "n_shingles": size.astype(np.int64),
                         "digest": pa.array(digest, pa.binary()),
+                        "class": pa.array([d and int.from_bytes(d[:8], "little", signed=True) for d in digest], pa.int64()),
                         "profile": pa.array([x.tobytes() for x in profile], pa.binary()),
                         "prefix": list_array(values.view(np.int64), lengths),
                     }
@@ -353,10 +354,12 @@ def _split(crowded: DataFrame, percent: int, order) -> tuple[DataFrame, DataFram
 
 
 def _elect(tokens: DataFrame) -> DataFrame:
-    """(region, doc_id): the documents that elected one pivot by a shared token, and the pivot."""
-    chosen = tokens.groupBy("token").agg(F.min("doc_id").alias("pivot"), F.max("doc_id").alias("last")).where("pivot <> last")
+    """(region, class): the classes that elected one pivot by a shared token, and the pivot."""
+    chosen = tokens.groupBy("token").agg(F.min("class").alias("pivot"), F.max("class").alias("last")).where("pivot <> last")
     # The pivot's own row of each token puts it in its region too.
-    return tokens.join(chosen.drop("last"), "token").select(F.col("pivot").alias("region"), "doc_id").distinct()
+    return (
+        tokens.join(chosen.drop("last").hint("merge"), "token").select(F.col("pivot").alias("region"), "class").distinct()
+    )
 
 
 def jaccard_components(
@@ -390,32 +393,36 @@ def jaccard_components(
     features = materialize(
         docs.mapInArrow(
             _features("doc_id", "text", shingle_words, percent, order),
-            "doc_id long, n_shingles long, digest binary, profile binary, prefix array<long>",
+            "doc_id long, n_shingles long, digest binary, class long, profile binary, prefix array<long>",
         ),
         "shingles",
     )
     known = features.where("doc_id is not null and n_shingles > 0")
-    classes = known.groupBy("digest").agg(F.min("doc_id").alias("rep"))
-    copies = known.select("digest", "doc_id").join(classes, "digest").where("doc_id <> rep").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
-    # One row for each class: copies are alike, so any of theirs will do.
-    alike = [F.first(c).alias(c) for c in ("n_shingles", "profile", "prefix")]
-    prefixes = known.groupBy("digest").agg(F.min("doc_id").alias("doc_id"), *alike)
-    tokens = prefixes.select("doc_id", F.explode("prefix").alias("token"))
-    elected = materialize(_elect(tokens), "elected")
+    # Copies are one class: any of them has its profile, and the smallest stands for it. Should two classes share a number, both
+    # enter the regions of either, which loses nothing.
+    alike = [F.first(c).alias(c) for c in ("class", "n_shingles", "profile")]
+    classes = materialize(known.groupBy("digest").agg(F.min("doc_id").alias("rep"), *alike), "classes")
+    copies = (
+        known.select("digest", "doc_id")
+        .join(classes.select("digest", "rep"), "digest")
+        .where("doc_id <> rep")
+        .select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
+    )
+    elected = materialize(_elect(known.select("class", F.explode("prefix").alias("token"))), "elected")
     crowds = elected.groupBy("region").agg((F.count("*") > region_docs).alias("large"))
-    profiles = prefixes.select("doc_id", "n_shingles", "profile")
-    placed = elected.join(crowds, "region")
+    # Nothing below has a proven size, so no side of these joins is to be broadcast at any size.
+    placed = elected.join(crowds.hint("merge"), "region").join(classes.drop("digest").hint("merge"), "class")
     near = (
         placed.where("not large")
-        .join(profiles, "doc_id")
-        .select("region", "doc_id", "n_shingles", "profile")
+        .select("region", F.col("rep").alias("doc_id"), "n_shingles", "profile")
         .groupBy("region")
         .applyInArrow(_may_link(percent), "region long, doc_id long")
     )
-    level = materialize(near.unionByName(placed.where("large").select("region", "doc_id")), "level")
+    far = placed.where("large").select("region", F.col("rep").alias("doc_id"))
+    level = materialize(near.unionByName(far), "level")
     sets = materialize(
         docs.where("doc_id is not null")
-        .join(level.select("doc_id").distinct(), "doc_id", "left_semi")
+        .join(level.select("doc_id").distinct().hint("merge"), "doc_id", "left_semi")
         .dropDuplicates(["doc_id", "text"])  # on the join's partitioning
         .mapInArrow(_sets("doc_id", "text", shingle_words), "doc_id long, items binary")
         .where("length(items) > 0"),
@@ -423,7 +430,7 @@ def jaccard_components(
     )
     edges = [copies]
     while True:
-        members = level.join(sets, "doc_id")
+        members = level.join(sets.hint("merge"), "doc_id")
         sizes = materialize(
             level.join(sets.select("doc_id", F.length("items").alias("size")), "doc_id")
             .groupBy("region")

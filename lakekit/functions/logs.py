@@ -7,8 +7,7 @@ from pyspark.sql import functions as F
 
 from lakekit.functions.scalars import _col
 
-# The line layout, its time format and the label defaults.
-LINE_PATTERN = r"^\[([^\]]+)\] \[([^\]]+)\] (.*)$"
+# The time format of a line and the label defaults.
 TIME_FORMAT = "yyyy-MM-dd'T'HH:mm:ss'Z'"
 DEFAULT_SOURCE = "unknown"
 DEFAULT_LEVEL = "INFO"
@@ -16,9 +15,13 @@ DEFAULT_LEVEL = "INFO"
 
 def parse_log(df: DataFrame, line: str = "line") -> DataFrame:
     """Split `[ts] [level] message`; other lines keep their text as the message."""
-    stamp, level, message = (F.regexp_extract(line, LINE_PATTERN, i) for i in (1, 2, 3))
-    # The level of a line that matches is never empty, and that of any other line always is.
-    hit = F.col(line).startswith("[") & (level != "")
+    parts = F.split(line, r"\] \[|\] ", 3)
+    stamp, level, message = (F.get(parts, i) for i in range(3))
+    inside = r"^\[[^\]]+$"
+    # "[ts] [level] message": brackets around the first two parts and nowhere else in them.
+    hit = stamp.rlike(inside) & F.col(line).startswith(F.concat(stamp, F.lit("] ["), level, F.lit("] "))) & level.rlike(r"^[^\]]+$")
+    stamp = F.substr(stamp, F.lit(2))
+    hit = F.coalesce(hit & message.isNotNull(), F.lit(False))
     return df.withColumns(
         {
             "ts": F.try_to_timestamp(F.when(hit, stamp), F.lit(TIME_FORMAT)),

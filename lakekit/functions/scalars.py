@@ -69,7 +69,10 @@ def edit_fields(
             _col(rename),
             out,
             lambda acc, r: F.transform(
-                acc, lambda f: F.when(f["name"] == r["old"], f.withField("name", r["new"])).otherwise(f)
+                acc,
+                lambda f, i: F.when(
+                    i + 1 == F.array_position(F.transform(acc, lambda g: g["name"]), r["old"]), f.withField("name", r["new"])
+                ).otherwise(f),
             ),
         )
     return out
@@ -85,7 +88,9 @@ def change_texts(fields: Column | str, add: Column | str, drop: Column | str, re
         hit = F.array_contains(acc["names"], r["old"])
         text = F.concat(F.lit("Renamed column: "), r["old"], F.lit(" -> "), r["new"])
         return F.struct(
-            F.transform(acc["names"], lambda n: F.when(n == r["old"], r["new"]).otherwise(n)).alias("names"),
+            F.transform(
+                acc["names"], lambda n, i: F.when(i + 1 == F.array_position(acc["names"], r["old"]), r["new"]).otherwise(n)
+            ).alias("names"),
             F.when(hit, F.concat(acc["texts"], F.array(text))).otherwise(acc["texts"]).alias("texts"),
         )
 

@@ -18,7 +18,6 @@ from pyspark.sql import functions as F
 from lakekit.session import materialize
 
 RUN_ROWS = 5_000_000
-MAX_RUNS = 20_000  # past this, runs grow instead of their number
 
 
 def default_run_rows(df: DataFrame) -> int:
@@ -30,12 +29,14 @@ class Ordered:
 
     def __init__(self, df: DataFrame, keys: list[str], order: list[str], run_rows: int | None = None):
         self.keys, self.order = list(keys), list(order)
+        # Equal rows keep their input order, in both kinds of window, and may span runs.
+        counted, df = df, df.withColumn("_tie", F.monotonically_increasing_id())
         self.cold: DataFrame | None = df
         self.hot: DataFrame | None = None
         self.runs = 0
         self._settled = True
         limit = run_rows or default_run_rows(df)
-        counts = df.groupBy(*keys).agg(F.count("*").alias("_rows")).filter(F.col("_rows") > limit)
+        counts = counted.groupBy(*keys).agg(F.count("*").alias("_rows")).filter(F.col("_rows") > limit)
         key = F.struct(*keys) if keys else F.lit(0)
         heavy = counts.select(key.alias("_key"), "_rows")
         # At most (rows of df / limit) entries, so both the driver and a broadcast can hold them.
@@ -49,18 +50,16 @@ class Ordered:
             keyed = keyed.join(F.broadcast(names), "_key", "left_semi")
         else:
             self.cold = None
-        self.runs = min(math.ceil(sum(row["_rows"] for row in found) / limit), MAX_RUNS)
-        # The row number lets equal rows span runs, should `order` not tell all rows apart.
-        numbered = keyed.withColumn("_tie", F.monotonically_increasing_id())
-        ranged = numbered.repartitionByRange(self.runs, *self.keys, *self.order, "_tie").drop("_tie")
+        self.runs = math.ceil(sum(row["_rows"] for row in found) / limit)
+        ranged = keyed.repartitionByRange(self.runs, *self.keys, *self.order, "_tie")
         # Written out so that the run numbers stay fixed for all later steps.
         self.hot = materialize(ranged.withColumn("_run", F.spark_partition_id()), "runs")
 
     def _plain(self) -> WindowSpec:
-        return Window.partitionBy(*self.keys).orderBy(*self.order)
+        return Window.partitionBy(*self.keys).orderBy(*self.order, "_tie")
 
     def _in_run(self) -> WindowSpec:
-        return Window.partitionBy("_run", "_key").orderBy(*self.order)
+        return Window.partitionBy("_run", "_key").orderBy(*self.order, "_tie")
 
     def _by_run(self, df: DataFrame) -> DataFrame:
         """One task for about one run, whatever number of shuffle partitions the session has."""
@@ -86,7 +85,7 @@ class Ordered:
         if self.hot is None:
             return self
         hot = self._settle()
-        newest = Window.partitionBy("_run", "_key").orderBy(*[F.desc(c) for c in self.order])
+        newest = Window.partitionBy("_run", "_key").orderBy(*[F.desc(c) for c in [*self.order, "_tie"]])
         tail = hot.withColumn("_back", F.row_number().over(newest)).filter(F.col("_back") <= before)
         row = F.struct(*[c for c in hot.columns if c != "_run"])
         seen = Window.partitionBy("_key").orderBy("_run", F.desc("_back")).rowsBetween(1 - before, 0)
@@ -119,7 +118,7 @@ class Ordered:
         if self.hot is None:
             return self
         hot = self._settle()
-        at = F.struct(*self.order)
+        at = F.struct(*self.order, "_tie")
         summary = hot.groupBy("_run", "_key").agg(
             *[F.sum(c).alias("_before_" + n) for n, c in sums.items()],
             *[F.max_by(c, F.when(c.isNotNull(), at)).alias("_before_" + n) for n, c in lasts.items()],
@@ -140,6 +139,6 @@ class Ordered:
 
     def result(self) -> DataFrame:
         if self.hot is None:
-            return self.cold
-        hot = self.hot.drop("_run", "_key")
-        return hot if self.cold is None else self.cold.unionByName(hot)
+            return self.cold.drop("_tie")
+        hot = self.hot.drop("_run", "_key", "_tie")
+        return hot if self.cold is None else self.cold.drop("_tie").unionByName(hot)

@@ -5,22 +5,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lakekit.functions.scalars import all_of
-from lakekit.operators.ordered import Ordered
 from lakekit.operators.windows import first_rows
 
-# A top-n is read by so many tasks that the final one gets about this many rows, however many files there are.
-FINAL_ROWS = 20_000_000
-# Pages that end within this many rows come from a top-n; later ones from a distributed numbering.
-TOP_ROWS = 10_000
 PAGE_SIZES = (1, 100)
 TAIL_SIZES = (1, 10_000)
 
 
 def top_rows(df: DataFrame, order: list[Column | str], n: int, skip: int = 0) -> DataFrame:
-    """Rows `skip + 1` to `skip + n` by `order`; every task keeps only its own first rows."""
-    tasks = max(FINAL_ROWS // (skip + n), 1)
-    return df.coalesce(tasks).orderBy(*order).offset(skip).limit(n)
+    """Rows `skip + 1` to `skip + n` by `order`: each task keeps only its own first rows, on the scan's own tasks."""
+    return df.orderBy(*order).offset(skip).limit(n)
 
 
 def sort_by(df: DataFrame, col: str, *ties: str) -> DataFrame:
@@ -39,25 +32,11 @@ def _sorted(df: DataFrame, order: list[Column], ties: list[Column]) -> DataFrame
     return numbered.orderBy(*order, "_tie").drop("_tie")
 
 
-def page_of(
-    df: DataFrame, order: list[str], page: int = 1, size: int = 20, top_limit: int = TOP_ROWS
-) -> DataFrame:
+def page_of(df: DataFrame, order: list[str], page: int = 1, size: int = 20) -> DataFrame:
     """Page `page` (from 1) of the rows, newest first by the `order` columns, which must tell all rows apart."""
     if page < 1 or not PAGE_SIZES[0] <= size <= PAGE_SIZES[1]:
         raise ValueError("page must be at least 1 and size within 1-100")
-    skip = (page - 1) * size
-    newest = [F.desc(c) for c in order]
-    if skip + size <= top_limit:
-        return top_rows(df, newest, size, skip)
-    # Deep page: number the order columns alone from the oldest row, then fetch the page's rows.
-    total = df.count()
-    numbered = Ordered(df.select(*order), [], order).running(sums={"_position": F.lit(1)}).result()
-    last = total - skip
-    wanted = numbered.filter((F.col("_position") <= last) & (F.col("_position") > last - size))
-    wanted = wanted.select(*[F.col(c).alias("_" + c) for c in order])
-    same = all_of([F.col(c).eqNullSafe(F.col("_" + c)) for c in order])
-    # A page has at most `size` rows, which bounds the broadcast.
-    return df.join(F.broadcast(wanted), same, "left_semi").orderBy(*newest)
+    return top_rows(df, [F.desc(c) for c in order], size, (page - 1) * size)
 
 
 def tail(df: DataFrame, ts: str, n: int = 500, ties: list[str] = ()) -> DataFrame:
@@ -67,19 +46,28 @@ def tail(df: DataFrame, ts: str, n: int = 500, ties: list[str] = ()) -> DataFram
     return top_rows(df, [F.desc(c) for c in [ts, *ties]], n)
 
 
-def keyset(df: DataFrame, key: str, after: object = None, size: int = 1000) -> DataFrame:
-    """`size` rows after a key, each with `is_truncated` and the `next_token` to go on from."""
-    rest = df if after is None else df.filter(F.col(key) > after)
-    ahead = top_rows(rest, [key], size + 1)
+def keyset(df: DataFrame, key: str, after: object = None, size: int = 1000, tie: str | None = None) -> DataFrame:
+    """`size` rows after a key, each with `is_truncated` and the `next_token` to go on from.
+
+    A key that repeats needs a `tie` column that tells its rows apart; `after` and the token then are (key, tie) pairs.
+    """
+    order = [key, tie] if tie else [key]
+    rest = df
+    if after is not None and tie:
+        rest = df.filter((F.col(key) > after[0]) | ((F.col(key) == after[0]) & (F.col(tie) > after[1])))
+    elif after is not None:
+        rest = df.filter(F.col(key) > after)
+    ahead = top_rows(rest, order, size + 1)
     # These windows see at most size + 1 rows.
     whole = Window.partitionBy()
     numbered = ahead.withColumns(
         {
-            "_position": F.row_number().over(Window.orderBy(key)),
+            "_position": F.row_number().over(Window.orderBy(*order)),
             "is_truncated": F.count("*").over(whole) > size,
         }
     ).filter(F.col("_position") <= size)
-    token = F.when(F.col("is_truncated"), F.max(key).over(whole))
+    last = F.struct(key, tie) if tie else F.col(key)
+    token = F.when(F.col("is_truncated"), F.max(last).over(whole))
     return numbered.withColumn("next_token", token).drop("_position")
 
 

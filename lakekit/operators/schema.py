@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import re
 from dataclasses import dataclass
+from decimal import Decimal
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -45,6 +46,18 @@ def spark_type(name: str) -> T.DataType:
     return TYPES[name]
 
 
+def _some(kind: T.DataType) -> Column:
+    """Any value of a type that Spark knows not to be null."""
+    if isinstance(kind, T.DateType):
+        return F.date_from_unix_date(F.lit(0))
+    if isinstance(kind, T.TimestampType):
+        return F.timestamp_seconds(F.lit(0))
+    if isinstance(kind, T.DecimalType):
+        return F.lit(Decimal(0).scaleb(-kind.scale)).cast(kind)
+    plain = {T.StringType: "", T.BinaryType: bytearray(), T.BooleanType: False}
+    return F.lit(plain.get(type(kind), 0)).cast(kind)
+
+
 def apply_schema(df: DataFrame, fields: list[Field]) -> DataFrame:
     """Cast to a declared schema. A null in a required column fails the query that reads it."""
     if not fields:
@@ -53,7 +66,9 @@ def apply_schema(df: DataFrame, fields: list[Field]) -> DataFrame:
     for f in fields:
         value = F.col(f.name).cast(spark_type(f.type))
         if not f.nullable:
-            value = F.coalesce(value, F.raise_error(F.lit(f"null in required column {f.name}")).cast(spark_type(f.type)))
+            kind = spark_type(f.type)
+            # The last value is never reached; it makes the result's column not nullable.
+            value = F.coalesce(value, F.raise_error(F.lit(f"null in required column {f.name}")).cast(kind), _some(kind))
         metadata = {"comment": f.description} if f.description else {}
         columns.append(value.alias(f.name, metadata=metadata))
     return df.select(*columns)

@@ -9,20 +9,8 @@ from lakekit.functions.scalars import round2
 from lakekit.operators.ordered import Ordered
 
 
-# Up to this rank Spark cuts the rows of each key in every input task, before the shuffle.
-EARLY_CUT = 1000
-SLOTS = 256
-
-
 def first_rows(df: DataFrame, keys: list[str], order: list[Column], k: int = 1) -> DataFrame:
-    """The first `k` rows of each key. A large `k` first cuts the rows of each key in SLOTS parts."""
-    if k > EARLY_CUT:
-        spread = df.withColumn("_slot", F.monotonically_increasing_id() % SLOTS)
-        df = _cut(spread, [*keys, "_slot"], order, k).drop("_slot")
-    return _cut(df, keys, order, k)
-
-
-def _cut(df: DataFrame, keys: list[str], order: list[Column], k: int) -> DataFrame:
+    """The first `k` rows of each key; Spark cuts each key in every input task before the shuffle too, while k is within its own limit."""
     spec = Window.partitionBy(*keys).orderBy(*order)
     return df.withColumn("_rank", F.row_number().over(spec)).filter(F.col("_rank") <= k).drop("_rank")
 

@@ -157,7 +157,9 @@ def join_inner(spark, d):
         FROM ({CUSTOMER_ORDERS}) GROUP BY tier, country""",
 )
 def join_agg(spark, d):
-    return j.join_summary(fx.customer_orders(spark, d), fx.customers(spark, d), "customer_id", ["tier", "country"], "total")
+    orders = fx.customer_orders(spark, d).withColumn("total", money("total"))
+    summary = j.join_summary(orders, fx.customers(spark, d), "customer_id", ["tier", "country"], "total")
+    return summary.withColumn("revenue", F.col("revenue").cast("double"))
 
 
 @query(
@@ -224,7 +226,9 @@ def distribution_stats(spark, d):
        FROM orders GROUP BY o_orderpriority""",
 )
 def pivot_sum(spark, d):
-    return a.pivot_sum(fx.table(spark, d, "orders"), "o_orderpriority", "o_orderstatus", "o_totalprice", ["F", "O", "P"])
+    orders = fx.table(spark, d, "orders").withColumn("o_totalprice", money("o_totalprice"))
+    sums = a.pivot_sum(orders, "o_orderpriority", "o_orderstatus", "o_totalprice", ["F", "O", "P"])
+    return sums.withColumns({c: F.col(c).cast("double") for c in ("F", "O", "P")})
 
 
 @query("row_count", "SELECT count(*) AS count FROM lineitem")

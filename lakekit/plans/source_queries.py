@@ -119,9 +119,30 @@ def preview_rows(spark, d):
     return preview(table(spark, d, "events"), 10, ["event_id"])
 
 
-@query("object_inventory")
+TABLES = (
+    "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations"
+).split()
+
+
+@query(
+    "object_inventory",
+    " UNION ALL ".join(f"SELECT '{t}.parquet' AS dataset, CAST(count(*) AS BIGINT) AS rows FROM {t}" for t in TABLES),
+)
 def object_inventory(spark, d):
-    return inventory(spark, d).withColumn("last_modified", F.col("last_modified").cast("timestamp_ntz"))
+    """The listed objects by dataset, with the rows that reading each object finds."""
+    path = F.col("_metadata.file_path")
+    root = d.rstrip("/").split("/")[-1]
+    counted = None
+    for name in TABLES:
+        files = spark.read.parquet(f"{d}/{name}.parquet").groupBy(path.alias("path")).agg(F.count("*").alias("rows"))
+        counted = files if counted is None else counted.unionByName(files)
+    key = F.substring_index("path", f"/{root}/", -1)
+    listed = inventory(spark, d).filter(F.col("key").rlike(r"\.parquet(/.*)?$"))
+    return (
+        listed.join(counted.select(key.alias("key"), "rows"), "key")
+        .groupBy(F.substring_index("key", "/", 1).alias("dataset"))
+        .agg(F.sum("rows").alias("rows"))
+    )
 
 
 @query(
@@ -135,10 +156,10 @@ def json_event_source(spark, d):
 
 @query(
     "json_event_sink",
-    """SELECT user_id::VARCHAR AS key, event_id, event_type, user_id, value FROM events""",
+    """SELECT user_id::VARCHAR AS key, * FROM events""",
 )
 def json_event_sink(spark, d):
-    rows = table(spark, d, "events").select("event_id", "event_type", "user_id", "value")
+    rows = table(spark, d, "events")
     path = scratch_path(spark, "json_events")
     write(encode_events(rows, "user_id"), path)
     return decode_events(spark.read.schema("key string, value string").parquet(path), rows.schema)

@@ -4,19 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from lakekit.operators.windows import first_rows
 from lakekit.plans import fixtures as fx
 from lakekit.plans.core_queries import LOGS
 from lakekit.plans.event_queries import LIFECYCLE, PARSED, plain_times
 from lakekit.plans.registry import query
 from lakekit.session import scratch_path
 from lakekit.streaming import streams as st
-from lakekit.streaming.lifecycle_stream import run_lifecycle
-
-DELAY = "1 hour"
-
+from lakekit.streaming.lifecycle_stream import newest_states, run_lifecycle
 
 def _events(spark, d):
-    """The events as a stream; a watermark needs the timestamp type.
+    """The events as a stream; event-time windows need the timestamp type.
 
     A stream takes a folder or a pattern, and this pattern fits both one file and a folder of files.
     """
@@ -49,41 +47,38 @@ def stream_log_ingest(spark, d):
 
 @query("stream_incremental_tail", f"SELECT event_id, ts, job_id, source, message FROM ({LOGS})")
 def stream_incremental_tail(spark, d):
+    """Every line once, though each arrives twice, at any distance and in any order of files."""
     logs = fx.log_rows(_events(spark, d)).select("event_id", "ts", "job_id", "source", "message")
-    shown = st.tail_stream(logs.union(logs), "ts", "event_id", DELAY)
     out, checkpoint = _out(spark, "tail")
-    st.run_batches(shown, out, checkpoint, ["ts", "event_id"])
-    return _stored(spark, out, shown.schema).withColumn("ts", F.col("ts").cast("timestamp_ntz"))
-
-
-# A window appears once the watermark, the newest time less the delay, has passed its end.
-CLOSED = "(SELECT date_trunc('milliseconds', max(ts)) - INTERVAL 1 HOUR FROM events)"
+    st.run_parts(logs.union(logs), out, checkpoint, lambda batch: first_rows(batch, ["event_id"], [F.asc("ts")]))
+    shown = first_rows(st.read_parts(spark, out), ["event_id"], [F.asc("batch"), F.asc("ts")]).drop("batch")
+    return shown.withColumn("ts", F.col("ts").cast("timestamp_ntz"))
 
 
 @query(
     "stream_count_over_time",
-    f"""SELECT w AS window_start, user_id, count(*) AS count
-        FROM (SELECT user_id, time_bucket(INTERVAL '15 minutes', ts) AS w FROM events)
-        GROUP BY ALL HAVING w + INTERVAL '15 minutes' <= {CLOSED}""",
+    """SELECT time_bucket(INTERVAL '15 minutes', ts) AS window_start, user_id, count(*) AS count
+       FROM events GROUP BY ALL""",
 )
 def stream_count_over_time(spark, d):
-    counts = st.count_over_time_stream(_events(spark, d), ["user_id"], "ts", "15 minutes", DELAY)
     out, checkpoint = _out(spark, "counts")
-    st.run_available(counts, out, checkpoint)
-    return _stored(spark, out, counts.schema).withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
+    st.run_parts(_events(spark, d), out, checkpoint, lambda b: st.windowed_counts(b, ["user_id"], "ts", "15 minutes"))
+    counts = st.read_parts(spark, out).groupBy("window_start", "user_id").agg(F.sum("count").alias("count"))
+    return counts.withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
 
 
 @query(
     "stream_sliding_rate",
-    f"""SELECT w AS window_start, event_type, count(*) / 300.0::DOUBLE AS rate
-        FROM (SELECT event_type, time_bucket(INTERVAL '1 minute', ts) - to_minutes(unnest([0, 1, 2, 3, 4])) AS w FROM events)
-        GROUP BY ALL HAVING w + INTERVAL '5 minutes' <= {CLOSED}""",
+    """SELECT w AS window_start, event_type, count(*) / 300.0::DOUBLE AS rate
+       FROM (SELECT event_type, time_bucket(INTERVAL '1 minute', ts) - to_minutes(unnest([0, 1, 2, 3, 4])) AS w FROM events)
+       GROUP BY ALL""",
 )
 def stream_sliding_rate(spark, d):
-    rates = st.sliding_rate(_events(spark, d), ["event_type"], "ts", "5 minutes", "1 minute", DELAY)
     out, checkpoint = _out(spark, "rates")
-    st.run_available(rates, out, checkpoint)
-    return _stored(spark, out, rates.schema).withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
+    counts = lambda b: st.windowed_counts(b, ["event_type"], "ts", "5 minutes", "1 minute")
+    st.run_parts(_events(spark, d), out, checkpoint, counts)
+    rates = st.read_parts(spark, out).groupBy("window_start", "event_type").agg((F.sum("count") / F.lit(300.0)).alias("rate"))
+    return rates.withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
 
 
 @query(
@@ -95,9 +90,7 @@ def stream_sliding_rate(spark, d):
 def stream_job_lifecycle(spark, d):
     out, checkpoint = _out(spark, "lifecycle")
     run_lifecycle(fx.job_events(_events(spark, d)), out, checkpoint)
-    states = spark.read.parquet(out)
-    newest = states.filter(F.col("batch") == states.agg(F.max("batch")).scalar())
-    return plain_times(newest.drop("batch"))
+    return plain_times(newest_states(st.read_parts(spark, out)))
 
 
 @query(
@@ -116,15 +109,17 @@ def stream_cancellations(spark, d):
 
 @query(
     "stream_idempotent_events",
-    "SELECT 'job-' || event_id AS job_id, CAST(floor(value / 100) AS INT) AS retry_count, ts FROM events",
+    """SELECT 'job-' || user_id AS job_id, CAST(floor(value / 100) AS INT) AS retry_count, min(ts) AS ts
+       FROM events GROUP BY ALL""",
 )
 def stream_idempotent_events(spark, d):
+    """Each attempt once, at its earliest time, in whatever order the files bring it."""
     attempts = _events(spark, d).select(
-        F.concat(F.lit("job-"), F.col("event_id").cast("string")).alias("job_id"),
+        F.concat(F.lit("job-"), F.col("user_id").cast("string")).alias("job_id"),
         F.floor(F.col("value") / 100).cast("int").alias("retry_count"),
         "ts",
     )
-    accepted = st.dedup_events_stream(attempts.union(attempts), delay=DELAY)
     out, checkpoint = _out(spark, "accepted")
-    st.run_available(accepted, out, checkpoint)
-    return _stored(spark, out, accepted.schema).withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+    first = lambda rows: rows.groupBy("job_id", "retry_count").agg(F.min("ts").alias("ts"))
+    st.run_parts(attempts, out, checkpoint, first)
+    return first(st.read_parts(spark, out)).withColumn("ts", F.col("ts").cast("timestamp_ntz"))

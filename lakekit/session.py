@@ -2,13 +2,10 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-_local_roots: dict[str, str] = {}
-
 # Spark settings the operators rely on; all of them are defaults or safe on any cluster.
 DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
@@ -31,18 +28,10 @@ def build_session(app: str = "lakekit", master: str | None = None, **conf: str)
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh path under the folder all executors share (`spark.checkpoint.dir`).
-
-    Only a local-mode session without that setting gets a folder on this machine.
-    """
+    """A fresh path under the folder all executors share: `spark.checkpoint.dir`, or else a folder in the warehouse."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
-        app = spark.sparkContext.applicationId
-        if app not in _local_roots:
-            _local_roots[app] = tempfile.mkdtemp(prefix="lakekit-")
-        root = _local_roots[app]
+        root = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
     return f"{root.rstrip('/')}/lakekit/{label}-{uuid.uuid4().hex}"
 
 

@@ -1,64 +1,18 @@
-"""The job lifecycle on a stream: as a state table by micro-batch, or as keyed state.
-
-`run_lifecycle` holds for micro-batches and jobs of any size. `lifecycle_stream` answers within a
-short trigger and can feed any sink, but takes a job's events of one micro-batch into one task.
-"""
+"""The job lifecycle on a stream, as a table of job states by micro-batch."""
 
 from __future__ import annotations
 
-import sys
-from collections.abc import Iterator
-
-import numpy as np
-import pandas as pd
-from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
-
-from lakekit.operators.lifecycle import (
-    CANCELLED,
-    COMPLETING,
-    DEAD,
-    FAILED,
-    MAX_RETRIES,
-    PENDING,
-    QUEUED,
-    RUNNING,
-    TERMINAL,
-    advance,
-)
-from lakekit.streaming.streams import run_each
 
-# Send the processor itself to the Python workers, which then need no copy of this package.
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
+from lakekit.operators.lifecycle import MAX_RETRIES, advance
+from lakekit.operators.windows import first_rows
+from lakekit.streaming.streams import read_parts, run_each
 
-# A job's events of one micro-batch are sorted in one task, so its micro-batches are smaller.
-MAX_BYTES_PER_TRIGGER = 1 << 30
 
-# Times are microseconds since the epoch in the state.
-_STATE = T.StructType(
-    [
-        T.StructField("status", T.StringType()),
-        T.StructField("failures", T.IntegerType()),
-        T.StructField("started", T.LongType()),
-        T.StructField("completed", T.LongType()),
-        T.StructField("error", T.StringType()),
-    ]
-)
-_OUTPUT = T.StructType(
-    [
-        T.StructField("job_id", T.StringType()),
-        T.StructField("ts", T.LongType()),
-        T.StructField("event_id", T.LongType()),
-        T.StructField("status_after", T.StringType()),
-        T.StructField("retry_count", T.LongType()),
-        T.StructField("started_at", T.LongType()),
-        T.StructField("completed_at", T.LongType()),
-        T.StructField("last_error", T.StringType()),
-    ]
-)
+def newest_states(versions: DataFrame) -> DataFrame:
+    """Of states with the `batch` (a number) that wrote them, the newest of each job."""
+    return first_rows(versions, ["job_id"], [F.desc("batch")]).drop("batch")
 
 
 def run_lifecycle(
@@ -68,87 +22,19 @@ def run_lifecycle(
     max_retries: int = MAX_RETRIES,
     guard_terminal: bool = False,
 ) -> None:
-    """Write the states of all jobs after each micro-batch to `path/batch=N`, until the input is used up.
+    """Write the states of the jobs that a micro-batch changes to `path/batch=N`, until the input is used up.
 
-    Batch N starts from the states of batch N - 1, so running a batch again gives the same result.
+    Batch N starts from the newest states of the batches before it, so running a batch again gives the same result. Jobs
+    without new events are not written again; `newest_states` gives the present state of all jobs.
     """
 
     def save(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        known = spark.read.parquet(f"{path}/batch={batch_id - 1}") if batch_id else None
+        known = None
+        if batch_id:
+            earlier = read_parts(spark, path).filter(F.col("batch") < batch_id)
+            known = newest_states(earlier.join(batch.select("job_id").distinct(), "job_id", "left_semi"))
         states = advance(known, batch, max_retries, guard_terminal)
         states.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
 
     run_each(sdf, save, checkpoint)
-
-
-class _Fold(StatefulProcessor):
-    def __init__(self, max_retries: int, guard_terminal: bool):
-        self.max_retries, self.guard_terminal = max_retries, guard_terminal
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.state = handle.getValueState("job", _STATE)
-
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        events = pd.concat(list(rows), ignore_index=True)
-        events = events.iloc[np.lexsort((events["event_id"], events["ts"]))]
-        held = self.state.get() if self.state.exists() else (PENDING, 0, None, None, None)
-        status, failures, started, completed, error = held
-        for ts, is_cancel, update, message in zip(
-            events["ts"], events["is_cancel"], events["status"], events["error_message"]
-        ):
-            if status in TERMINAL and (is_cancel or self.guard_terminal):
-                continue
-            if is_cancel:
-                status, completed = CANCELLED, ts
-                continue
-            if message:
-                error = message
-            if update == RUNNING:
-                started = ts
-            if update in COMPLETING:
-                completed = ts
-            if update == FAILED:
-                failures += 1
-                update = QUEUED if failures <= self.max_retries else DEAD
-            status = update
-        started, completed = (None if v is None else int(v) for v in (started, completed))
-        self.state.update((status, failures, started, completed, error))
-        newest = events.iloc[-1]
-        yield pd.DataFrame(
-            {
-                "job_id": [key[0]],
-                "ts": [int(newest["ts"])],
-                "event_id": [int(newest["event_id"])],
-                "status_after": [status],
-                "retry_count": [min(failures, self.max_retries)],
-                "started_at": pd.array([started], dtype="Int64"),
-                "completed_at": pd.array([completed], dtype="Int64"),
-                "last_error": [error],
-            }
-        )
-
-    def close(self) -> None:
-        pass
-
-
-def lifecycle_stream(
-    sdf: DataFrame, max_retries: int = MAX_RETRIES, guard_terminal: bool = False
-) -> DataFrame:
-    """One row for each job and micro-batch: the state after the job's newest event.
-
-    Micro-batches must arrive in time order; inside one, events are sorted. A job's events of
-    one micro-batch are held together, so the source's limit for each trigger bounds them.
-    """
-    micros = F.unix_micros(F.col("ts").cast("timestamp")).alias("ts")
-    error = F.coalesce("error_message", F.lit("")).alias("error_message")
-    status = F.coalesce("status", F.lit("")).alias("status")
-    slim = sdf.select("job_id", micros, "event_id", status, "is_cancel", error)
-    states = slim.groupBy("job_id").transformWithStateInPandas(
-        statefulProcessor=_Fold(max_retries, guard_terminal),
-        outputStructType=_OUTPUT,
-        outputMode="Update",
-        timeMode="None",
-    )
-    times = {c: F.timestamp_micros(c) for c in ("ts", "started_at", "completed_at")}
-    return states.withColumns(times)

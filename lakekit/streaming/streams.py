@@ -89,6 +89,32 @@ def run_batches(
     run_each(sdf, save, checkpoint, mode)
 
 
+def run_parts(sdf: DataFrame, path: str, checkpoint: str, part: Callable[[DataFrame], DataFrame]) -> None:
+    """Write `part(micro-batch)` to `path/batch=N` until the input is used up.
+
+    For results that must not depend on how the input falls into micro-batches: each is reduced to what can be merged
+    (counts, first rows), without a watermark, and `read_parts` gives them all for merging.
+    """
+
+    def save(batch: DataFrame, batch_id: int) -> None:
+        part(batch).write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+
+    _finish(sdf.sparkSession, sdf.writeStream.foreachBatch(save), checkpoint)
+
+
+def read_parts(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+    """What `run_parts` or `run_batches` wrote, with the number of the micro-batch as `batch`, whatever type the folders' names infer to."""
+    rows = (spark.read.schema(schema) if schema is not None else spark.read).option("basePath", path).parquet(path)
+    return rows.withColumn("batch", F.col("batch").cast("bigint"))
+
+
+def windowed_counts(df: DataFrame, series: list[str], ts: str, width: str, step: str | None = None) -> DataFrame:
+    """Rows for each series and window, of a batch or micro-batch; these add up over micro-batches."""
+    window = F.window(ts, width, step) if step else F.window(ts, width)
+    counts = df.groupBy(window.alias("_window"), *series).agg(F.count("*").alias("count"))
+    return counts.select(F.col("_window.start").alias("window_start"), *series, "count")
+
+
 def ingest_logs(
     spark: SparkSession,
     in_dir: str,

@@ -219,3 +219,15 @@ def test_many_first_rows(spark):
     df = spark.range(5000).select("id", (F.col("id") % 2).alias("k"))
     got = p.topk_per(df, ["k"], "id", 1500).agg(F.min("id"), F.count("*")).first()
     assert tuple(got) == (2000, 3000)
+
+
+def test_keyset_walk_over_repeated_keys(spark):
+    df = spark.createDataFrame([(i // 7, i) for i in range(20)], "k int, id int")
+    seen, after = [], None
+    while True:
+        page = p.keyset(df, "k", after, 3, tie="id").collect()
+        seen += [r["id"] for r in page]
+        if not page[0]["is_truncated"]:
+            break
+        after = page[0]["next_token"]
+    assert seen == list(range(20))

@@ -91,11 +91,19 @@ def test_empty(spark):
 
 @pytest.mark.parametrize("page", [1, 3, 9, 10])
 def test_deep_page(skewed, page):
-    def ids(**limits):
-        return [r["id"] for r in page_of(skewed, ["ts", "id"], page, 97, **limits).collect()]
-
-    skewed.sparkSession.conf.set("spark.lakekit.runRows", "80")
-    try:
-        assert ids(top_limit=10) == ids()
-    finally:
-        skewed.sparkSession.conf.unset("spark.lakekit.runRows")
+    got = [r["id"] for r in page_of(skewed, ["ts", "id"], page, 97).collect()]
+    newest = sorted(((r["ts"], r["id"]) for r in skewed.collect()), reverse=True)
+    assert got == [i for _, i in newest[(page - 1) * 97 : page * 97]]
+
+
+@pytest.mark.parametrize("run_rows", [7, 11])
+def test_ties_keep_their_order_on_both_paths(spark, rows, run_rows):
+    rng = random.Random(run_rows)
+    data = [("hot" if rng.random() < 0.7 else f"k{i % 5}", rng.randrange(6), float(i)) for i in range(300)]
+    df = spark.createDataFrame(data, "key string, ts int, value double").coalesce(1)
+    for op in (
+        lambda n: moving_avg(df, "key", ["ts"], "value", 4, run_rows=n),
+        lambda n: deltas(df, ["key"], ["ts"], "value", run_rows=n),
+        lambda n: Ordered(df, ["key"], ["ts"], n).running({"s": F.col("value")}, {"l": F.col("value")}).result(),
+    ):
+        assert rows(op(run_rows)) == rows(op(10**6))

@@ -84,3 +84,16 @@ def test_cancellations(spark, tmp_path):
     cancels = st.cancellations(stream(spark, path, df.schema), "job_id string, action string")
     st.run_available(cancels, str(tmp_path / "out"), str(tmp_path / "ck"))
     assert [r["job_id"] for r in spark.read.parquet(str(tmp_path / "out")).collect()] == ["a"]
+
+
+@pytest.mark.parametrize("files", [4, 12])
+def test_results_do_not_depend_on_micro_batches(spark, tmp_path, rows, files):
+    path, out = str(tmp_path / "in"), str(tmp_path / "out")
+    # Every file spans the whole time range, and none is in order.
+    schema = parts(spark, path, [[(f"k{i % 4}", (i * 7919 + b * 31) % 90_000) for i in range(60)] for b in range(files)])
+    counts = lambda df: st.windowed_counts(df, ["k"], "ts", "15 minutes")
+    st.run_parts(stream(spark, path, schema), out, str(tmp_path / "ck"), counts)
+    got = st.read_parts(spark, out)
+    assert got.select("batch").distinct().count() == files
+    merged = got.groupBy("window_start", "k").agg(F.sum("count").alias("count"))
+    assert rows(merged) == rows(count_over_time(spark.read.parquet(path), ["k"], "ts"))

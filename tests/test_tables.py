@@ -91,10 +91,12 @@ def test_inventory(spark, tmp_path):
     (tmp_path / "a").mkdir()
     (tmp_path / "a" / "x.bin").write_bytes(b"12345")
     (tmp_path / "b.bin").write_bytes(b"1")
+    (tmp_path / "a" / "_SUCCESS").write_bytes(b"")
+    (tmp_path / ".hidden").write_bytes(b"12")
     got = inventory(spark, str(tmp_path)).collect()
-    assert {(r["key"], r["size"]) for r in got} == {("a/x.bin", 5), ("b.bin", 1)}
+    assert {(r["key"], r["size"]) for r in got} == {("a/x.bin", 5), ("b.bin", 1), ("a/_SUCCESS", 0), (".hidden", 2)}
     for root in (str(tmp_path), f"file://{tmp_path}"):
-        assert [r["key"] for r in inventory(spark, root, "a/").collect()] == ["a/x.bin"]
+        assert [r["key"] for r in inventory(spark, root, "a/x").collect()] == ["a/x.bin"]
 
 
 def test_declared_types(spark):

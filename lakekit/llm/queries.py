@@ -37,7 +37,33 @@ def op1(spark, sf_dir):
     return jaccard_components(read(spark, sf_dir, "documents"), shingle_words=4, percent=85)
 
 
-@query("op3_benchmark_decontamination")
+@query(
+    "op3_benchmark_decontamination",
+    r"""
+    WITH raw AS (
+      SELECT 'd' AS kind, doc_id AS id, text FROM documents UNION ALL SELECT 'b', item_id, text FROM benchmark),
+    w AS (
+      SELECT kind, id, regexp_extract_all(
+               translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+               '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM raw),
+    b AS (
+      SELECT id AS item, least(len(ws), 13) AS n, unnest(generate_series(1, greatest(len(ws) - 12, 1))) AS i, ws
+      FROM w WHERE kind = 'b' AND len(ws) > 0),
+    k AS (SELECT DISTINCT item, n, array_to_string(ws[i:i + n - 1], ' ') AS phrase FROM b),
+    g AS (
+      SELECT id, n, i, array_to_string(ws[i:i + n - 1], ' ') AS phrase
+      FROM (SELECT id, ws, n, unnest(generate_series(1, len(ws) - n + 1)) AS i
+            FROM w, (SELECT DISTINCT n FROM k) WHERE kind = 'd' AND len(ws) >= n)),
+    m AS (SELECT id, g.n, i, item FROM g JOIN k ON g.n = k.n AND g.phrase = k.phrase),
+    h AS (SELECT id, count(*) AS hits FROM (SELECT DISTINCT id, unnest(generate_series(i, i + n - 1)) AS p FROM m) GROUP BY id),
+    o AS (SELECT id, count(*) AS items, string_agg(item::VARCHAR, ',' ORDER BY item::VARCHAR) AS names
+          FROM (SELECT DISTINCT id, item FROM m) GROUP BY id)
+    SELECT w.id AS doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(coalesce(hits, 0) AS BIGINT) AS n_hit,
+           CAST(coalesce(items, 0) AS BIGINT) AS n_items, sha256(coalesce(names, '')) AS items_sha256,
+           coalesce(hits, 0) > 0 AND 20 * coalesce(hits, 0) >= len(ws) AS contaminated
+    FROM w LEFT JOIN h USING (id) LEFT JOIN o USING (id) WHERE kind = 'd'
+    """,
+)
 def op3(spark, sf_dir):
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     found = find_contamination(docs, read(spark, sf_dir, "benchmark"))
@@ -59,7 +85,24 @@ def op5(spark, sf_dir):
     )
 
 
-@query("op7_substring_dedup")
+@query(
+    "op7_substring_dedup",
+    r"""
+    WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+    g AS (
+      SELECT doc_id, i, array_to_string(ws[i:i + 12], ' ') AS k
+      FROM (SELECT doc_id, ws, unnest(generate_series(1, len(ws) - 12)) AS i FROM w WHERE len(ws) >= 13)),
+    f AS (SELECT k, min(doc_id) AS first FROM g GROUP BY k),
+    h AS (SELECT DISTINCT doc_id, i + j AS p FROM g JOIN f USING (k), range(0, 13) AS t(j) WHERE first < doc_id),
+    s AS (SELECT doc_id, unnest(ws) AS word, unnest(generate_series(1, len(ws))) AS p FROM w),
+    t AS (
+      SELECT s.doc_id, count(h.p) AS gone, string_agg(word, ' ' ORDER BY s.p) FILTER (WHERE h.p IS NULL) AS kept
+      FROM s LEFT JOIN h ON s.doc_id = h.doc_id AND s.p = h.p GROUP BY s.doc_id)
+    SELECT w.doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(coalesce(gone, 0) AS BIGINT) AS n_removed,
+           sha256(coalesce(kept, '')) AS kept_sha256
+    FROM w LEFT JOIN t USING (doc_id)
+    """,
+)
 def op7(spark, sf_dir):
     kept = remove_repeats(read(spark, sf_dir, "documents").select("doc_id", "text"))
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))

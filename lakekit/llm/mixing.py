@@ -161,10 +161,11 @@ def mix_sources(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", sou
     end = f"(first_word + `{size}`)"
     words = f"regexp_extract_all(`{text}`, '[^\\\\x20\\\\x09-\\\\x0D]+', 0)"
     chosen = f"filter(sequence(first_word div {block_words}, ({end} - 1) div {block_words}), j -> {_PICKED})"
+    # The words are bound once, as w, and not split anew for each block.
     part = (
-        f"array_join(flatten(transform({chosen}, j -> slice({words}, "
+        f"element_at(transform(array({words}), w -> array_join(flatten(transform({chosen}, j -> slice(w, "
         f"CAST(greatest(j * {block_words}, first_word) - first_word + 1 AS INT), "
-        f"CAST(least({end}, (j + 1) * {block_words}) - greatest(j * {block_words}, first_word) AS INT)))), ' ')"
+        f"CAST(least({end}, (j + 1) * {block_words}) - greatest(j * {block_words}, first_word) AS INT)))), ' ')), 1)"
     )
     rest = f"taken - passes * `{size}`"
     whole = F.expr(f"array_repeat(`{text}`, CAST(passes + IF({rest} = `{size}`, 1, 0) AS INT))")

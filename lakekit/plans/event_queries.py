@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import functions as F
 
 from lakekit.functions import logs as lg
@@ -14,6 +16,7 @@ from lakekit.operators import windows as w
 from lakekit.operators.lifecycle import lifecycle
 from lakekit.plans import fixtures as fx
 from lakekit.plans.core_queries import LOGS, rounded
+from lakekit.plans.log_query import query_logs
 from lakekit.plans.registry import query
 from lakekit.session import scratch_path
 from lakekit.sources.scan import read_merged
@@ -266,6 +269,16 @@ def enrich_labels(spark, d):
     return lg.add_labels(rows, job_id=F.col("job_id"), container_id="pod-1")
 
 
+@query(
+    "log_query",
+    f"""SELECT event_id, ts, job_id, coalesce(source, 'unknown') AS source, coalesce(level, 'INFO') AS level, message
+        FROM ({LOGS}) WHERE job_id = 'job-7' AND ts >= TIMESTAMP '2024-01-02 00:00:00' AND ts < TIMESTAMP '2024-01-20 00:00:00'
+        ORDER BY ts DESC, event_id DESC LIMIT 50""",
+)
+def log_query(spark, d):
+    return query_logs(fx.logs(spark, d), "job-7", n=50, start=datetime(2024, 1, 2), end=datetime(2024, 1, 20), ties=["event_id"])
+
+
 @query(
     "default_labels",
     f"SELECT * REPLACE (coalesce(source, 'unknown') AS source, coalesce(level, 'INFO') AS level) FROM ({LOGS})",

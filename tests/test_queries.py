@@ -7,6 +7,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as contract
+from lakekit.plans.registry import QUERIES
 from lakekit.operators.transforms import stamp
 
 SF = "/root/testdata/sf0.001"
@@ -34,7 +35,7 @@ def canonical(columns, tuples):
     return sorted(out, key=lambda t: tuple((v is None, str(v)) for v in t))
 
 
-@pytest.mark.parametrize("name", list(contract.queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query(spark, db, name):
     got = contract.queries()[name](spark, SF)
     sql = contract.oracle_sql().get(name)

@@ -1,7 +1,8 @@
 """Job lifecycle: the state of each job after each of its events.
 
 Events have `job_id`, `event_id`, `ts`, `status` (null for a cancel request), `is_cancel` and
-`error_message`. The state is written in closed form over running counts and running last
+`error_message`, and may have `max_retries` (the job's own limit, on each of its events) and
+`container_id` (kept while later ones are empty); both are then part of the state. The state is written in closed form over running counts and running last
 values, so no row-by-row fold is needed.
 """
 
@@ -22,16 +23,16 @@ SUCCESS = "SUCCESS"
 FAILED = "FAILED"
 CANCELLED = "CANCELLED"
 DEAD = "DEAD"
-STATUSES = [PENDING, QUEUED, PROVISIONING, RUNNING, SUCCESS, FAILED, CANCELLED, DEAD]
 TERMINAL = [SUCCESS, DEAD, CANCELLED]
 COMPLETING = [SUCCESS, FAILED, CANCELLED, DEAD]
 MAX_RETRIES = 3
 
 ORDER = ["ts", "event_id"]
 STATE = ["status_after", "retry_count", "started_at", "completed_at", "last_error"]
+OPTIONAL = ["max_retries", "container_id"]
 
 
-def _resting(status: Column, failures: Column, max_retries: int) -> Column:
+def _resting(status: Column, failures: Column, max_retries: Column) -> Column:
     """The state a status update leaves: a failure is queued again while retries remain."""
     retried = F.when(failures <= max_retries, QUEUED).otherwise(DEAD)
     return F.when(status == FAILED, retried).otherwise(status)
@@ -86,6 +87,7 @@ def _new_rows(events: DataFrame) -> DataFrame:
         F.when(status == FAILED, 1).otherwise(0).alias("_failed"),
         F.when(status == RUNNING, ts).alias("_started"),
         F.when(status.isin(COMPLETING), ts).alias("_completed"),
+        *[F.col(c) for c in OPTIONAL if c in events.columns],
     )
 
 
@@ -100,6 +102,7 @@ def _known_rows(states: DataFrame) -> DataFrame:
         F.col("retry_count").cast("int").alias("_failed"),
         F.col("started_at").alias("_started"),
         F.col("completed_at").alias("_completed"),
+        *[F.col(c) for c in OPTIONAL if c in states.columns],
     )
 
 
@@ -107,17 +110,22 @@ def _fold(
     rows: DataFrame, max_retries: int, guard_terminal: bool, run_rows: int | None, keep: list[str] = ()
 ) -> DataFrame:
     update = ~F.col("is_cancel")
+    own = [c for c in OPTIONAL if c in rows.columns]
+    limit = F.coalesce("max_retries", F.lit(max_retries)) if "max_retries" in own else F.lit(max_retries)
+    if "container_id" in own:
+        rows = rows.withColumnRenamed("container_id", "_container")
     counted = Ordered(rows, ["job_id"], ["_new", *ORDER], run_rows).running(
         sums={"_failures": F.col("_failed")}, lasts={"_last_status": F.when(update, F.col("status"))}
     )
-    resting = F.coalesce(_resting(F.col("_last_status"), F.col("_failures"), max_retries), F.lit(PENDING))
+    resting = F.coalesce(_resting(F.col("_last_status"), F.col("_failures"), limit), F.lit(PENDING))
     counted = counted.map(lambda d: d.withColumn("_resting", resting))
-    done = _guarded(counted, update) if guard_terminal else _overwriting(counted, update)
-    out = done.result().withColumn("retry_count", F.least("_failures", F.lit(max_retries)))
-    return out.select("job_id", *ORDER, *keep, *STATE)
+    marks = {"container_id": F.when(update & (F.col("_container") != ""), F.col("_container"))} if "container_id" in own else {}
+    done = _guarded(counted, update, marks) if guard_terminal else _overwriting(counted, update, marks)
+    out = done.result().withColumn("retry_count", F.least("_failures", limit))
+    return out.select("job_id", *ORDER, *keep, *STATE, *own)
 
 
-def _overwriting(rows: Ordered, update: Column) -> Ordered:
+def _overwriting(rows: Ordered, update: Column, marks: dict[str, Column]) -> Ordered:
     """Every status update counts. A cancel request counts if it finds the job open."""
     still_open = ~F.col("_resting").isin(TERMINAL)
     # Of several requests in a row, the first closes the job.
@@ -126,12 +134,12 @@ def _overwriting(rows: Ordered, update: Column) -> Ordered:
     status = F.when(~update & still_open, CANCELLED).otherwise(F.col("_resting"))
     return (
         rows.sliding(1, lambda d, w: d.withColumn("_after_cancel", F.lag("is_cancel", 1).over(w)))
-        .running(lasts=_marks(update, completed))
+        .running(lasts=_marks(update, completed) | marks)
         .map(lambda d: d.withColumn("status_after", status))
     )
 
 
-def _guarded(rows: Ordered, update: Column) -> Ordered:
+def _guarded(rows: Ordered, update: Column, marks: dict[str, Column]) -> Ordered:
     """Nothing changes after the first event that leaves a final state."""
     after = F.when(update, F.col("_resting")).otherwise(CANCELLED)
     final = F.col("_after").isin(TERMINAL)
@@ -142,7 +150,9 @@ def _guarded(rows: Ordered, update: Column) -> Ordered:
         rows.map(lambda d: d.drop("_failures"))
         .running(
             sums={"_failures": F.when(counts, F.col("_failed")).otherwise(0)},
-            lasts=_marks(update & counts, completed) | {"status_after": F.when(counts, F.col("_after"))},
+            lasts=_marks(update & counts, completed)
+            | {n: F.when(counts, c) for n, c in marks.items()}
+            | {"status_after": F.when(counts, F.col("_after"))},
         )
     )
 

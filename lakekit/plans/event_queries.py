@@ -517,7 +517,9 @@ JOB_EVENTS = """
     SELECT 'job-' || user_id AS job_id, event_id, ts, is_cancel,
            CASE WHEN NOT is_cancel THEN CASE event_type WHEN 'signup' THEN 'QUEUED' WHEN 'click' THEN 'PROVISIONING'
              WHEN 'view' THEN 'RUNNING' WHEN 'purchase' THEN 'SUCCESS' ELSE 'FAILED' END END AS status,
-           CASE WHEN NOT is_cancel AND event_type = 'error' THEN 'failed at ' || event_id END AS error_message
+           CASE WHEN NOT is_cancel AND event_type = 'error' THEN 'failed at ' || event_id END AS error_message,
+           CAST(user_id % 4 AS INT) AS max_retries,
+           CASE WHEN NOT is_cancel AND event_type IN ('view', 'purchase') THEN 'pod-' || event_id ELSE '' END AS pod
     FROM (SELECT *, CAST(json_extract_string(props, '$.k') AS INT) < 10 AS is_cancel FROM events)"""
 LIFECYCLE = f"""
     WITH r AS (
@@ -527,17 +529,18 @@ LIFECYCLE = f"""
       FROM ({JOB_EVENTS})
       WINDOW w AS (PARTITION BY job_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING)),
     s AS (
-      SELECT *, coalesce(CASE WHEN seen <> 'FAILED' THEN seen WHEN cf <= 3 THEN 'QUEUED' WHEN cf > 3 THEN 'DEAD' END,
+      SELECT *, coalesce(CASE WHEN seen <> 'FAILED' THEN seen WHEN cf <= max_retries THEN 'QUEUED' WHEN cf > max_retries THEN 'DEAD' END,
                          'PENDING') AS resting FROM r),
     c AS (
       SELECT *, CASE WHEN is_cancel AND resting NOT IN ('SUCCESS', 'DEAD', 'CANCELLED') THEN 'CANCELLED'
                      ELSE resting END AS status_after,
              CASE WHEN is_cancel THEN NOT after_cancel AND resting NOT IN ('SUCCESS', 'DEAD', 'CANCELLED')
                   ELSE status IN ('SUCCESS', 'FAILED', 'CANCELLED', 'DEAD') END AS completes FROM s)
-    SELECT job_id, ts, event_id, status_after, CAST(least(cf, 3) AS BIGINT) AS retry_count,
+    SELECT job_id, ts, event_id, status_after, CAST(least(cf, max_retries) AS BIGINT) AS retry_count, max_retries,
            last_value(CASE WHEN status = 'RUNNING' THEN ts END IGNORE NULLS) OVER w AS started_at,
            last_value(CASE WHEN completes THEN ts END IGNORE NULLS) OVER w AS completed_at,
-           last_value(error_message IGNORE NULLS) OVER w AS last_error
+           last_value(error_message IGNORE NULLS) OVER w AS last_error,
+           last_value(CASE WHEN pod <> '' THEN pod END IGNORE NULLS) OVER w AS container_id
     FROM c WINDOW w AS (PARTITION BY job_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING)"""
 
 

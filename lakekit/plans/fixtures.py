@@ -123,6 +123,10 @@ def job_events(source: DataFrame) -> DataFrame:
         F.when(~cancel & (kind == "error"), F.concat(F.lit("failed at "), F.col("event_id").cast("string"))).alias(
             "error_message"
         ),
+        (F.col("user_id") % 4).cast("int").alias("max_retries"),
+        F.when(~cancel & kind.isin("view", "purchase"), F.concat(F.lit("pod-"), F.col("event_id").cast("string")))
+        .otherwise("")
+        .alias("container_id"),
     )
 
 

@@ -263,6 +263,9 @@ def write_archive(pages: DataFrame, folder: str, page_id: str = "page_id", url:
     Null pages are empty payloads, null URLs empty ones. Rows that tie for the largest page id of a payload are all responses; a null page
     id ranks below all others. Other columns are not written.
     """
+    context = pages.sparkSession.sparkContext
+    path = context._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(context._jsc.hadoopConfiguration()).mkdirs(path)
     digest = F.sha1(F.coalesce(F.col(html), F.lit("")).cast("binary"))
     rows = pages.select(
         F.col(page_id).cast("long").alias("page_id"), F.col(url).alias("url"), F.col(html).alias("html"), digest.alias("digest")
@@ -322,8 +325,6 @@ def archive_round_trip(pages: DataFrame, page_id: str = "page_id", url: str = "u
     spark = pages.sparkSession
     folder = scratch_folder(spark, "warc")
     folder = folder if "://" in folder else f"file://{folder}" if folder.startswith("/") else folder
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
-    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(path)
     captures = write_archive(pages, folder, page_id, url, html, **options)
     directory = write_index(captures, folder)
     keys = pages.select(F.col(url).alias("url")).mapInArrow(_keys, "key string").distinct()

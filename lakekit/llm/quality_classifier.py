@@ -252,8 +252,11 @@ def keep_quality(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", tex
     threshold = options.pop("threshold", 0.3)
     label = options.pop("label", "quality")
     known = labels.select(F.col(doc_id).alias("_id"), F.col(label).cast("int").alias("_label")).where("_label in (0, 1)")
-    wanted = docs.where(~held_out(F.col(doc_id))).join(known, F.col(doc_id) == F.col("_id")).select(F.col(text).alias("text"), "_label")
-    rows = materialize(wanted.mapInArrow(_measure("text", stats), f"_label int, {stats} array<double>"), "statistics")
+    # Measured before the join, so that statistics move and texts do not.
+    learning = docs.where(~held_out(F.col(doc_id))).select(F.col(doc_id).alias("_doc"), F.col(text).alias("text"))
+    kind = f"_doc {docs.schema[doc_id].dataType.simpleString()}, {stats} array<double>"
+    measured = learning.mapInArrow(_measure("text", stats), kind)
+    rows = materialize(measured.join(known, F.col("_doc") == F.col("_id")).select(stats, "_label"), "statistics")
     model = spark.sparkContext.broadcast(fit(rows, stats, "_label", **options))
     kind = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields])
 

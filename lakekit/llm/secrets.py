@@ -27,11 +27,12 @@ _ASSIGN = re.compile(
 )
 _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _LONG_HEX = re.compile(r"[0-9a-f]{32,}")
-_PEM = re.compile(r"-----BEGIN ((?:[A-Z0-9]+ )*PRIVATE KEY)-----([A-Za-z0-9+/=\s:,-]*?)-----END \1-----", re.ASCII)
-_BASE64 = re.compile(r"(?<![A-Za-z0-9+/=_.-])[A-Za-z0-9+/]{64,}={0,2}(?![A-Za-z0-9+/=_.-])")
+_PEM = re.compile(r"-----BEGIN ((?:[A-Z0-9]+ )*PRIVATE KEY)-----([A-Za-z0-9+/=\s:,\\-]*?)-----END \1-----", re.ASCII)
+# Whole runs of the alphabet; decoding decides. The letter of a written-out \n before a key is not part of its run.
+_BASE64 = re.compile(r"(?:(?<![A-Za-z0-9+/\\])|(?<=\\)(?![nrt])|(?<=\\[nrt]))[A-Za-z0-9+/]{64,}={0,2}")
 _HEX_KEY = re.compile(r"(?<![0-9A-Fa-f])30[0-9A-Fa-f]{62,}(?![0-9A-Fa-f])")
 _SSH = re.compile(r"(?<![A-Za-z0-9-])(ssh-rsa|ssh-dss|ssh-ed25519|ecdsa-sha2-nistp\d+) ([A-Za-z0-9+/]{40,}={0,2})", re.ASCII)
-_JWT = re.compile(r"(?<![A-Za-z0-9_.-])(eyJ[A-Za-z0-9_-]+)\.([A-Za-z0-9_-]+)\.([A-Za-z0-9_-]+)(?![A-Za-z0-9_.-])")
+_JWT = re.compile(r"(?:(?<![A-Za-z0-9_.-])|(?<=\\[nrt]))(eyJ[A-Za-z0-9_-]+)\.([A-Za-z0-9_-]+)\.([A-Za-z0-9_-]+)(?!\.*[A-Za-z0-9_-])")
 
 #: What a text must hold, in RE2, before a kind's pattern runs over it.
 _SIGNS = {
@@ -103,7 +104,8 @@ def _decode(text: str, url: bool = False) -> bytes:
 
 
 def _pem(m: re.Match) -> bool:
-    body = re.sub(r"(?m)^[A-Za-z0-9-]+:.*$", "", m[2])  # encryption headers
+    body = re.sub(r"\\+(?:[nrt]|(?=\s))", "\n", m[2]).replace("\\", "")  # written-out line ends, and \/
+    body = re.sub(r"(?m)^[A-Za-z0-9-]+:.*$", "", body)  # encryption headers
     data = _decode(body)
     if data.startswith(b"openssh-key-v1\0"):
         return True

@@ -127,12 +127,16 @@ class Order:
         return (self.levels[at >> np.uint64(2)] >> ((at & np.uint64(3)) << np.uint64(1)).astype(np.uint8)) & np.uint8(3)
 
 
+def _digest(s: np.ndarray) -> bytes:
+    return hashlib.blake2b(s.tobytes(), digest_size=16).digest()
+
+
 def _need(n: int, percent: int) -> int:
     return -(-n * percent // 100)
 
 
 def _features(doc_id: str, text: str, k: int, percent: int, order):
-    """(doc_id, n_shingles, digest, prefix) for each document."""
+    """(doc_id, text_id, n_shingles, digest, class, profile, prefix) for each document."""
 
     def run(batches):
         for batch in batches:
@@ -145,7 +149,7 @@ def _features(doc_id: str, text: str, k: int, percent: int, order):
                 profile = np.minimum(profile.reshape(-1, CLASSES), 0xFFFF).astype(np.uint16)
                 for a, b in zip(at[:-1], at[1:]):
                     own, n = s[a:b], int(b - a)
-                    digest.append(hashlib.blake2b(own.tobytes(), digest_size=16).digest() if n else None)
+                    digest.append(_digest(own) if n else None)
                     rank = np.argsort(level[a:b], kind="stable")[: n - _need(n, percent) + 1]
                     prefix.append(own[rank])
                 lengths = np.array([len(p) for p in prefix], np.int64)
@@ -153,6 +157,7 @@ def _features(doc_id: str, text: str, k: int, percent: int, order):
                 yield pa.record_batch(
                     {
                         "doc_id": part.column(doc_id).cast(pa.int64()),
+                        "text_id": part.column("text_id"),
                         "n_shingles": size.astype(np.int64),
                         "digest": pa.array(digest, pa.binary()),
                         "class": pa.array([d and int.from_bytes(d[:8], "little", signed=True) for d in digest], pa.int64()),
@@ -165,14 +170,18 @@ def _features(doc_id: str, text: str, k: int, percent: int, order):
 
 
 def _sets(doc_id: str, text: str, k: int):
+    """(digest, rep, items) of the documents that stand for their classes."""
+
     def run(batches):
         for batch in batches:
             for part, data, offsets in chunks(batch, text):
                 s, at = shingle_sets(data, offsets, k)
+                sets = [s[a:b] for a, b in zip(at[:-1], at[1:])]
                 yield pa.record_batch(
                     {
-                        "doc_id": part.column(doc_id).cast(pa.int64()),
-                        "items": pa.array([s[a:b].tobytes() for a, b in zip(at[:-1], at[1:])], pa.binary()),
+                        "digest": pa.array([_digest(x) for x in sets], pa.binary()),
+                        "rep": part.column(doc_id).cast(pa.int64()),
+                        "items": pa.array([x.tobytes() for x in sets], pa.binary()),
                     }
                 )
 
@@ -237,8 +246,8 @@ def region_edges(ids: list[int], sets: list[np.ndarray], percent: int) -> list[t
 
 def _join_region(percent: int):
     def run(table: pa.Table) -> pa.Table:
-        rows = table.sort_by("doc_id")
-        ids = rows.column("doc_id").to_pylist()
+        rows = table.sort_by([("rep", "ascending"), ("digest", "ascending")])
+        ids = rows.column("rep").to_pylist()
         sets = [np.frombuffer(x, np.uint64) for x in rows.column("items").to_pylist()]
         edges = region_edges(ids, sets, percent)
         return pa.table({"a": pa.array([a for a, _ in edges], pa.int64()), "b": pa.array([b for _, b in edges], pa.int64())})
@@ -247,7 +256,7 @@ def _join_region(percent: int):
 
 
 def _may_link(percent: int):
-    """The (region, doc_id) of a region that may link to another of its documents, by profiles alone.
+    """The (region, digest) of a region that may link to another of its documents, by profiles alone.
 
     Profiles count shingles by hash class, so the sum of class minima is at least the intersection: distance between profiles never
     exceeds the documents' own, and nothing that links is lost. A class count at its limit of 65535 proves nothing and passes.
@@ -269,7 +278,7 @@ def _may_link(percent: int):
             near = others[_linked(most, size[others], size[i], percent)]
             if len(near):
                 keep[i] = keep[near] = True
-        return pa.table({"region": table.column("region"), "doc_id": table.column("doc_id")}).filter(pa.array(keep))
+        return pa.table({"region": table.column("region"), "digest": table.column("digest")}).filter(pa.array(keep))
 
     return run
 
@@ -287,7 +296,7 @@ def _items(batches):
 
 
 def _differences(percent: int, order):
-    """For (region, doc_id, items, centre): the slack, and the difference to the centre in order."""
+    """For (region, digest, rep, items, centre): the slack, and the difference to the centre in order."""
 
     def run(batches):
         for batch in batches:
@@ -301,7 +310,8 @@ def _differences(percent: int, order):
             yield pa.record_batch(
                 {
                     "region": batch.column("region"),
-                    "doc_id": batch.column("doc_id"),
+                    "digest": batch.column("digest"),
+                    "rep": batch.column("rep"),
                     "slack": pa.array(slack, pa.int64()),
                     "delta": list_array(np.concatenate(deltas) if deltas else np.zeros(0, np.int64), lengths),
                 }
@@ -311,7 +321,7 @@ def _differences(percent: int, order):
 
 
 def _split(crowded: DataFrame, percent: int, order) -> tuple[DataFrame, DataFrame]:
-    """Links found at once in (region, doc_id, items), and the (region, doc_id) of the next level."""
+    """Links found at once in (region, digest, rep, items), and the (region, digest) of the next level."""
     sizes = crowded.groupBy("region").agg(F.count("*").alias("docs"))
     centres = (
         crowded.select("region", "items")
@@ -326,17 +336,17 @@ def _split(crowded: DataFrame, percent: int, order) -> tuple[DataFrame, DataFram
     rows = materialize(
         crowded.join(centres, "region", "left")
         .withColumn("centre", F.coalesce("centre", F.array().cast("array<bigint>")))
-        .select("region", "doc_id", "items", "centre")
-        .mapInArrow(_differences(percent, order), "region long, doc_id long, slack long, delta array<long>"),
+        .select("region", "digest", "rep", "items", "centre")
+        .mapInArrow(_differences(percent, order), "region long, digest binary, rep long, slack long, delta array<long>"),
         "differences",
     )
-    best = rows.groupBy("region").agg(F.max("slack").alias("most"), F.max_by("doc_id", F.struct("slack", "doc_id")).alias("hub"))
+    best = rows.groupBy("region").agg(F.max("slack").alias("most"), F.max_by("rep", F.struct("slack", "rep")).alias("hub"))
     rows = rows.join(best, "region").withColumn("near", F.expr("slack + most >= 0"))
-    links = rows.where("near and doc_id <> hub").select(F.col("doc_id").alias("a"), F.col("hub").alias("b"))
+    links = rows.where("near and rep <> hub").select(F.col("rep").alias("a"), F.col("hub").alias("b"))
     shared = F.when(F.col("near"), 1).otherwise(F.ceil(-(F.col("slack") + F.col("most")) / (2 * (100 + percent))))
     keep = (F.greatest(F.lit(0), F.size("delta") - F.greatest(F.lit(1), shared) + 1)).cast("int")
     tokens = materialize(
-        rows.select("region", "doc_id", "near", F.explode(F.slice("delta", F.lit(1), keep)).alias("token")), "tokens"
+        rows.select("region", "digest", "near", F.explode(F.slice("delta", F.lit(1), keep)).alias("token")), "tokens"
     )
     # Elements with the same documents form one region; a group whose documents are all near the centre has no open pair.
     groups = (
@@ -344,12 +354,12 @@ def _split(crowded: DataFrame, percent: int, order) -> tuple[DataFrame, DataFram
         .agg(
             F.count("*").alias("n"),
             F.bool_and("near").alias("closed"),
-            F.sum(F.xxhash64("doc_id").cast("decimal(38,0)")).alias("members"),
+            F.sum(F.xxhash64("digest").cast("decimal(38,0)")).alias("members"),
         )
         .where("n > 1 and not closed")
         .select("region", "token", F.xxhash64("region", "n", "members").alias("next"))
     )
-    deeper = tokens.join(groups, ["region", "token"]).select(F.col("next").alias("region"), "doc_id").distinct()
+    deeper = tokens.join(groups, ["region", "token"]).select(F.col("next").alias("region"), "digest").distinct()
     return links, materialize(deeper, "level")
 
 
@@ -382,7 +392,7 @@ def jaccard_components(
     component. Other columns are not read. Exact copies meet as one class by the digest of their set, never as pairs.
     """
     spark = docs.sparkSession
-    docs = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
+    docs = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), F.xxhash64(text).alias("text_id"))
     levels = (
         docs.select("text")
         .mapInArrow(_bins("text", shingle_words), "range long, block binary")
@@ -393,15 +403,17 @@ def jaccard_components(
     features = materialize(
         docs.mapInArrow(
             _features("doc_id", "text", shingle_words, percent, order),
-            "doc_id long, n_shingles long, digest binary, class long, profile binary, prefix array<long>",
+            "doc_id long, text_id long, n_shingles long, digest binary, class long, profile binary, prefix array<long>",
         ),
         "shingles",
     )
     known = features.where("doc_id is not null and n_shingles > 0")
-    # Copies are one class: any of them has its profile, and the smallest stands for it. Should two classes share a number, both
-    # enter the regions of either, which loses nothing.
+    # Copies are one class: any of them has its profile, and the row with the smallest id stands for it. Should two classes share
+    # a number, both enter the regions of either, which loses nothing. Regions hold classes, not ids: an id may have very many.
     alike = [F.first(c).alias(c) for c in ("class", "n_shingles", "profile")]
-    classes = materialize(known.groupBy("digest").agg(F.min("doc_id").alias("rep"), *alike), "classes")
+    least = F.min(F.struct("doc_id", "text_id")).alias("least")
+    classes = known.groupBy("digest").agg(least, *alike).select("digest", "least.*", "class", "n_shingles", "profile")
+    classes = materialize(classes.withColumnRenamed("doc_id", "rep"), "classes")
     copies = (
         known.select("digest", "doc_id")
         .join(classes.select("digest", "rep"), "digest")
@@ -411,28 +423,29 @@ def jaccard_components(
     elected = materialize(_elect(known.select("class", F.explode("prefix").alias("token"))), "elected")
     crowds = elected.groupBy("region").agg((F.count("*") > region_docs).alias("large"))
     # Nothing below has a proven size, so no side of these joins is to be broadcast at any size.
-    placed = elected.join(crowds.hint("merge"), "region").join(classes.drop("digest").hint("merge"), "class")
+    placed = elected.join(crowds.hint("merge"), "region").join(classes.drop("rep", "text_id").hint("merge"), "class")
     near = (
         placed.where("not large")
-        .select("region", F.col("rep").alias("doc_id"), "n_shingles", "profile")
+        .select("region", "digest", "n_shingles", "profile")
         .groupBy("region")
-        .applyInArrow(_may_link(percent), "region long, doc_id long")
+        .applyInArrow(_may_link(percent), "region long, digest binary")
     )
-    far = placed.where("large").select("region", F.col("rep").alias("doc_id"))
+    far = placed.where("large").select("region", "digest")
     level = materialize(near.unionByName(far), "level")
+    wanted = classes.join(level.select("digest").distinct().hint("merge"), "digest", "left_semi")
     sets = materialize(
         docs.where("doc_id is not null")
-        .join(level.select("doc_id").distinct().hint("merge"), "doc_id", "left_semi")
-        .dropDuplicates(["doc_id", "text"])  # on the join's partitioning
-        .mapInArrow(_sets("doc_id", "text", shingle_words), "doc_id long, items binary")
+        .join(wanted.select(F.col("rep").alias("doc_id"), "text_id").hint("merge"), ["doc_id", "text_id"], "left_semi")
+        .dropDuplicates(["doc_id", "text_id", "text"])  # on the join's partitioning
+        .mapInArrow(_sets("doc_id", "text", shingle_words), "digest binary, rep long, items binary")
         .where("length(items) > 0"),
         "sets",
     )
     edges = [copies]
     while True:
-        members = level.join(sets.hint("merge"), "doc_id")
+        members = level.join(sets.hint("merge"), "digest")
         sizes = materialize(
-            level.join(sets.select("doc_id", F.length("items").alias("size")), "doc_id")
+            level.join(sets.select("digest", F.length("items").alias("size")), "digest")
             .groupBy("region")
             .agg((F.count("*") > region_docs).alias("over"), F.sum("size").alias("bytes"))
             .select("region", F.expr(f"over or bytes > {region_bytes}").alias("large")),

@@ -100,6 +100,34 @@ def test_jaccard_odd_rows(frame, odd):
     assert jaccard_components(frame([])).count() == 0
 
 
+def test_jaccard_many_texts_under_one_id(frame, monkeypatch):
+    levels, split = [], ngram_jaccard._split
+
+    def counted(*args):
+        levels.append(1)
+        assert len(levels) < 12, "regions do not get smaller"
+        return split(*args)
+
+    monkeypatch.setattr(ngram_jaccard, "_split", counted)
+    texts = [t for _, t, _ in near_copies(60, 5, edits=8) + near_copies(20, 6, 40, 2)]
+    rows = [(500 if i % 3 == 0 else i, t, "s") for i, t in enumerate(texts)]
+    own = brute.jaccard(list(enumerate(texts)), 4, 85)
+    root = {i: i for i, _, _ in rows}
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for n, (i, _, _) in enumerate(rows):
+        a, b = find(i), find(rows[own[n][1]][0])
+        root[max(a, b)] = min(a, b)
+    want = Counter((i, own[n][0], find(i)) for n, (i, _, _) in enumerate(rows))
+    got = jaccard_components(frame(rows), shingle_words=4, percent=85, region_docs=6)
+    assert Counter((r.doc_id, r.n_shingles, r.component_id) for r in got.collect()) == want
+    assert levels
+
+
 def test_components_chain(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(12)] + [(100, 200)], "a long, b long")
     got = {r.node: r.component for r in components(edges).collect()}

@@ -123,10 +123,10 @@ def _unblock(block: bytes):
 def _pack(window: int, piece: int, buckets: int, hot):
     """Rows (bucket, decided, block) of (doc_id, tag, text): blocks of packed strings, and of runs that are hit for certain."""
 
-    def flush(parts, strings, serial):
+    def flush(parts, strings):
         doc, tag, position, windows, key, content = (np.concatenate(x) for x in zip(*parts))
         bucket = (mix(key) % np.uint64(buckets)).astype(np.int64)
-        order = np.lexsort((doc, content, bucket))
+        order = np.lexsort((position, tag, doc, content, bucket))
         doc, tag, position, windows = doc[order], tag[order], position[order], windows[order]
         bucket, content = bucket[order], content[order]
         same = np.zeros(len(order), bool)
@@ -136,12 +136,16 @@ def _pack(window: int, piece: int, buckets: int, hot):
         group = np.cumsum(~same) - 1
         least = doc[np.flatnonzero(~same)][group]
         decided = doc > least
+        # Rows with one id and one text have the same runs: one of each is enough.
+        once = ~same
+        once[1:] |= (doc[1:] != doc[:-1]) | (tag[1:] != tag[:-1]) | (position[1:] != position[:-1])
         for told in (False, True):
-            at = np.flatnonzero(decided == told)
+            at = np.flatnonzero(once & (decided == told))
             if not len(at):
                 continue
-            # What is decided needs no company: it goes to any bucket and passes through.
-            to = np.full(len(at), serial % buckets) if told else bucket[at]
+            # What is decided needs no company but that of its copies from other tasks, which are merged with it.
+            own = mix(mix(doc[at].view(np.uint64)) ^ tag[at].astype(np.uint64)) % np.uint64(buckets) if told else bucket[at]
+            to = own.astype(np.int64)
             by = np.lexsort((position[at], doc[at], to))
             at, to = at[by], to[by]
             cuts = np.flatnonzero(np.diff(to, prepend=-1, append=-1))
@@ -158,7 +162,7 @@ def _pack(window: int, piece: int, buckets: int, hot):
             )
 
     def run(batches):
-        parts, strings, size, serial = [], [], 0, 0
+        parts, strings, size = [], [], 0
         for batch in batches:
             for part, data, offsets in chunks(batch, "text"):
                 w, flat = _compact(data, offsets)
@@ -168,14 +172,13 @@ def _pack(window: int, piece: int, buckets: int, hot):
                 parts.append((doc, tag, r.position.astype(np.int32), r.windows.astype(np.int32), r.key, r.content))
                 raw = flat.tobytes()
                 strings += [raw[a:b] for a, b in zip(r.begin.tolist(), r.end.tolist())]
-                serial += int(doc.sum() & 0xFFFF) if len(doc) else 0
                 size += len(data)
                 if size >= FLUSH_BYTES:
                     if strings:
-                        yield from flush(parts, strings, serial)
+                        yield from flush(parts, strings)
                     parts, strings, size = [], [], 0
         if strings:
-            yield from flush(parts, strings, serial)
+            yield from flush(parts, strings)
 
     return run
 
@@ -193,7 +196,7 @@ def _same_bytes(w: Words, a: np.ndarray, b: np.ndarray, window: int) -> np.ndarr
 
 
 def _count(window: int):
-    """A bucket's hits: (doc_id, tag, hits) with pairs of first window and number of windows."""
+    """A bucket's hits: (doc_id, tag, hits) with pairs of first window and number of windows, which do not overlap."""
 
     def run(table: pa.Table) -> pa.Table:
         told = [[], [], [], []]
@@ -239,10 +242,13 @@ def _count(window: int):
         doc, tag, position, n = doc[order], tag[order], position[order], n[order]
         new = np.ones(len(doc), bool)
         new[1:] = (doc[1:] != doc[:-1]) | (tag[1:] != tag[:-1])
+        base = np.cumsum(new) << 32  # keeps the (doc_id, tag) apart
+        reach = np.maximum.accumulate(base + position + n) if len(doc) else base
         joined = ~new
-        joined[1:] &= position[1:] == position[:-1] + n[:-1]
+        joined[1:] &= (base + position)[1:] <= reach[:-1]
         head = np.flatnonzero(~joined)
-        spans = np.stack([position[head], np.add.reduceat(n, head) if len(head) else n], 1).astype(np.int32).reshape(-1)
+        ends = (reach - base)[np.append(head[1:], len(doc))[: len(head)] - 1]
+        spans = np.stack([position[head], ends - position[head]], 1).astype(np.int32).reshape(-1)
         cuts = np.flatnonzero(new[head])
         lengths = np.diff(np.append(cuts, len(head))) * 2
         offsets = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32)
@@ -324,7 +330,7 @@ def remove_repeats(
         blocks.groupBy("bucket")
         .applyInArrow(_count(window_words), "doc_id long, tag int, hits array<int>")
         .groupBy("doc_id", "tag")
-        .agg(F.collect_list("hits").alias("hits"))  # no more than the document has windows
+        .agg(F.collect_list("hits").alias("hits"))  # a window is in one list of its own bucket, and one of the decided
         .toDF("_d", "_t", hits)
     )
     joined = keyed.join(found, (F.col(key) == F.col("_d")) & (F.col(tag) == F.col("_t")), "left").drop("_d", "_t", key, tag)

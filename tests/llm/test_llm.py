@@ -9,6 +9,8 @@ from collections import Counter
 import brute
 import duckdb
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 from pyspark.sql import functions as F
 
@@ -386,6 +388,30 @@ def test_repeats_small_buckets_and_hot_minimisers(frame, bucket_bytes, monkeypat
     assert tuples(got.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256))) == sorted(want, key=str)
 
 
+def test_repeats_of_one_id_and_text_are_bounded(frame, monkeypatch):
+    words = " ".join(f"p{i}" for i in range(40))
+    copies = [(None, words + " tail", "a")] * 30
+    want = brute.repeats([(1, words)] + [(2**63 - 1, t) for _, t, _ in copies])
+    got = remove_repeats(frame([(1, words, "a"), *copies], extra=False))
+    assert tuples(got.select("n_words", "n_removed", F.sha2("kept_text", 256))) == sorted([w[1:] for w in want], key=str)
+
+    class Hot:
+        value = np.zeros(0, np.uint64)
+
+    monkeypatch.setattr(substring_dedup, "FLUSH_BYTES", 1500)  # several blocks, each with the smaller document
+    data = [(1, 5, words)] + [(9, 7, words + " tail")] * 6
+    batch = pa.RecordBatch.from_pylist([dict(zip(("doc_id", "tag", "text"), r)) for r in data * 5])
+    batches = [batch.slice(i, 7) for i in range(0, 35, 7)]
+    for buckets in (1, 5):
+        table = pa.Table.from_batches(list(substring_dedup._pack(13, 4, buckets, Hot)(batches)))
+        hits = Counter()
+        for b in set(table.column("bucket").to_pylist()):
+            for r in substring_dedup._count(13)(table.filter(pc.equal(table.column("bucket"), b))).to_pylist():
+                for first, n in zip(r["hits"][::2], r["hits"][1::2]):
+                    hits.update((r["doc_id"], i) for i in range(first, first + n))
+        assert {k for k in hits} == {(9, i) for i in range(28)} and max(hits.values()) <= 2
+
+
 def test_repeats_odd_rows(frame, odd):
     got = remove_repeats(frame(odd))
     names = got.columns[-3:]

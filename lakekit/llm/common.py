@@ -8,7 +8,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lakekit.session import scratch_path
@@ -204,3 +204,28 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 
 def hex_of(column) -> Column:
     return F.lower(F.hex(column))
+
+
+def ranked(rows: DataFrame, group: list[str], order: list[str], name: str, label: str) -> DataFrame:
+    """Stored `rows` with `name`, their place from 0 within `group` (nulls first), stored in that order.
+
+    One range shuffle and small counts by range, so no group is ever in one task, however large. Rows equal in `order` have any order
+    among themselves. The window is over the ranges of one group, at most as many as the shuffle has partitions.
+    """
+    keys = [*group, *order]
+    sorted_rows = (
+        rows.withColumn("_row", F.monotonically_increasing_id())
+        .repartitionByRange(*keys, "_row")
+        .sortWithinPartitions(*keys, "_row")
+        .select(*rows.columns, F.spark_partition_id().alias("_part"), F.expr("monotonically_increasing_id() & 8589934591L").alias("_seq"))
+    )
+    placed = materialize(sorted_rows, label)
+    parts = placed.select(*[F.col(c).alias(f"_in_{c}") for c in group], F.col("_part").alias("_of"), "_seq")
+    own = [f"_in_{c}" for c in group]
+    parts = parts.groupBy(*own, "_of").agg(F.min("_seq").alias("_first"), F.count("*").alias("_n"))
+    before = Window.partitionBy(*(own or [F.lit(0)])).orderBy("_of").rowsBetween(Window.unboundedPreceding, -1)
+    parts = parts.withColumn("_start", F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first")).drop("_seq")
+    same = F.col("_part") == F.col("_of")
+    for c in group:
+        same &= F.col(c).eqNullSafe(F.col(f"_in_{c}"))
+    return placed.join(parts, same).select(*rows.columns, (F.col("_seq") + F.col("_start")).alias(name))

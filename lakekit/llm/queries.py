@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from lakekit.llm import oracles
 from lakekit.llm.common import materialize, read
 from lakekit.llm.decontaminate import find_contamination, is_contaminated
+from lakekit.llm.merkle import audit
 from lakekit.llm.mixing import count_words, plan_mix
 from lakekit.llm.ngram_jaccard import jaccard_components
 from lakekit.llm.packing import pack_documents, sequences
@@ -187,3 +189,8 @@ def op4(spark, sf_dir):
         "doc_ids",
         "parts",
     )
+
+
+@query("op11_merkle_manifest", oracles.merkle())
+def op11(spark, sf_dir):
+    return audit(read(spark, sf_dir, "documents")).drop("tree", "place")

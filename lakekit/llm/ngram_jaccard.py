@@ -127,6 +127,13 @@ class Order:
         return (self.levels[at >> np.uint64(2)] >> ((at & np.uint64(3)) << np.uint64(1)).astype(np.uint8)) & np.uint8(3)
 
 
+class AnyOrder:
+    """Shingles by hash alone."""
+
+    def level(self, s: np.ndarray) -> np.ndarray:
+        return np.zeros(len(s), np.uint8)
+
+
 def _digest(s: np.ndarray) -> bytes:
     return hashlib.blake2b(s.tobytes(), digest_size=16).digest()
 
@@ -372,6 +379,31 @@ def _elect(tokens: DataFrame) -> DataFrame:
     )
 
 
+def link_regions(
+    level: DataFrame, sets: DataFrame, percent: int, region_docs: int, region_bytes: int, order=None
+) -> list[DataFrame]:
+    """Frames of links (a, b) that together connect what links within the regions of `level(region, digest)`, by the full
+    `sets(digest, rep, items)`. Regions above the limits are split until they fit. `order` (a broadcast Order) is for speed only."""
+    order = order or level.sparkSession.sparkContext.broadcast(AnyOrder())
+    edges = []
+    while True:
+        members = level.join(sets.hint("merge"), "digest")
+        sizes = materialize(
+            level.join(sets.select("digest", F.length("items").alias("size")), "digest")
+            .groupBy("region")
+            .agg((F.count("*") > region_docs).alias("over"), F.sum("size").alias("bytes"))
+            .select("region", F.expr(f"over or bytes > {region_bytes}").alias("large")),
+            "sizes",
+        )
+        whole = members.join(sizes.where("not large"), "region", "left_semi")
+        edges.append(whole.groupBy("region").applyInArrow(_join_region(percent), "a long, b long"))
+        large = sizes.where("large")
+        if large.isEmpty():
+            return edges
+        links, level = _split(members.join(large, "region", "left_semi"), percent, order)
+        edges.append(links)
+
+
 def jaccard_components(
     docs: DataFrame,
     doc_id: str = "doc_id",
@@ -441,25 +473,8 @@ def jaccard_components(
         .where("length(items) > 0"),
         "sets",
     )
-    edges = [copies]
-    while True:
-        members = level.join(sets.hint("merge"), "digest")
-        sizes = materialize(
-            level.join(sets.select("digest", F.length("items").alias("size")), "digest")
-            .groupBy("region")
-            .agg((F.count("*") > region_docs).alias("over"), F.sum("size").alias("bytes"))
-            .select("region", F.expr(f"over or bytes > {region_bytes}").alias("large")),
-            "sizes",
-        )
-        whole = members.join(sizes.where("not large"), "region", "left_semi")
-        edges.append(whole.groupBy("region").applyInArrow(_join_region(percent), "a long, b long"))
-        large = sizes.where("large")
-        if large.isEmpty():
-            break
-        links, level = _split(members.join(large, "region", "left_semi"), percent, order)
-        edges.append(links)
-    linked = edges[0]
-    for more in edges[1:]:
+    linked = copies
+    for more in link_regions(level, sets, percent, region_docs, region_bytes, order):
         linked = linked.unionByName(more)
     found = components(linked)
     return (

@@ -8,6 +8,7 @@ from lakekit.llm import oracles
 from lakekit.llm.common import materialize, read
 from lakekit.llm.decontaminate import find_contamination, is_contaminated
 from lakekit.llm.merkle import audit
+from lakekit.llm.minhash import near_duplicates
 from lakekit.llm.mixing import count_words, plan_mix
 from lakekit.llm.ngram_jaccard import jaccard_components
 from lakekit.llm.packing import pack_documents, sequences
@@ -194,3 +195,8 @@ def op4(spark, sf_dir):
 @query("op11_merkle_manifest", oracles.merkle())
 def op11(spark, sf_dir):
     return audit(read(spark, sf_dir, "documents")).drop("tree", "place")
+
+
+@query("op12_minhash_near_dedup")
+def op12(spark, sf_dir):
+    return near_duplicates(read(spark, sf_dir, "documents"), shingle_words=5, percent=85)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from lakekit.llm import oracles
 from lakekit.llm.common import materialize, read
 from lakekit.llm.decontaminate import find_contamination, is_contaminated
+from lakekit.llm.divergence import divergence
 from lakekit.llm.merkle import audit
 from lakekit.llm.minhash import near_duplicates
 from lakekit.llm.mixing import count_words, plan_mix
@@ -200,3 +201,41 @@ def op11(spark, sf_dir):
 @query("op12_minhash_near_dedup")
 def op12(spark, sf_dir):
     return near_duplicates(read(spark, sf_dir, "documents"), shingle_words=5, percent=85)
+
+
+@query(
+    "op13_source_divergence",
+    r"""
+    WITH d AS (
+      SELECT row_number() OVER () AS id, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+             regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS ws FROM documents),
+    w AS (SELECT id, lang, source, unnest(ws) AS term FROM d),
+    k AS (SELECT lang, term, count(*)::HUGEINT AS n FROM w GROUP BY ALL HAVING count(DISTINCT id) >= 3),
+    l AS (SELECT lang, count(*)::HUGEINT AS v, sum(n)::HUGEINT AS total FROM k GROUP BY lang),
+    c AS (SELECT lang, source, term, count(*)::HUGEINT AS n FROM w JOIN k USING (lang, term) GROUP BY ALL),
+    g AS (
+      SELECT s.lang, s.source, coalesce(t.total, 0)::HUGEINT AS total
+      FROM (SELECT DISTINCT lang, source FROM d) s
+      LEFT JOIN (SELECT lang, source, sum(n)::HUGEINT AS total FROM c GROUP BY ALL) t ON s.lang = t.lang AND s.source = t.source),
+    p AS (
+      SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n, 1 + 1000000000 * (coalesce(c.n, 0) + 1) // (g.total + l.v) AS p,
+             1 + 1000000000 * (k.n + 1) // (l.total + l.v) AS q
+      FROM g JOIN l USING (lang) JOIN k USING (lang)
+      LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+    f AS (
+      SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p) AS value
+      FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+    r AS (
+      SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(f.value, 0) AS value
+      FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+      LEFT JOIN f ON f.lang = a.lang AND f.source = a.source AND f.item = b.source
+      UNION ALL
+      SELECT lang, source, 'term', term, (p - q) * (p - q) // q FROM p WHERE n > 0 AND p > q)
+    SELECT lang, source, part, item, CAST(value AS BIGINT) AS value,
+           CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank
+    FROM r QUALIFY part = 'pair' OR rank <= 200
+    """,
+)
+def op13(spark, sf_dir):
+    return divergence(read(spark, sf_dir, "documents"))

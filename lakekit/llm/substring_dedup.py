@@ -115,8 +115,8 @@ def _unblock(block: bytes):
     size = int(np.frombuffer(block, np.int64, 1)[0])
     raw = pa.decompress(block[8:], decompressed_size=size, codec="zstd", asbytes=True)
     n, body = (int(x) for x in np.frombuffer(raw, np.int64, 2))
-    doc = np.cumsum(np.frombuffer(raw, np.int64, n, 16))
-    tag, position, windows = (np.frombuffer(raw, np.int32, n, 16 + 8 * n + 4 * n * i) for i in range(3))
+    doc, tag = np.cumsum(np.frombuffer(raw, np.int64, n, 16)), np.frombuffer(raw, np.int64, n, 16 + 8 * n)
+    position, windows = (np.frombuffer(raw, np.int32, n, 16 + 16 * n + 4 * n * i) for i in range(2))
     return doc, tag, position, windows, raw[len(raw) - body :]
 
 
@@ -144,7 +144,7 @@ def _pack(window: int, piece: int, buckets: int, hot):
             if not len(at):
                 continue
             # What is decided needs no company but that of its copies from other tasks, which are merged with it.
-            own = mix(mix(doc[at].view(np.uint64)) ^ tag[at].astype(np.uint64)) % np.uint64(buckets) if told else bucket[at]
+            own = mix(mix(doc[at].view(np.uint64)) ^ tag[at].view(np.uint64)) % np.uint64(buckets) if told else bucket[at]
             to = own.astype(np.int64)
             by = np.lexsort((position[at], doc[at], to))
             at, to = at[by], to[by]
@@ -168,7 +168,7 @@ def _pack(window: int, piece: int, buckets: int, hot):
                 w, flat = _compact(data, offsets)
                 r = Runs(w, window, piece, hot.value)
                 doc = np.asarray(part.column("doc_id")).astype(np.int64)[r.doc]
-                tag = np.asarray(part.column("tag")).astype(np.int32)[r.doc]
+                tag = np.asarray(part.column("tag")).astype(np.int64)[r.doc]
                 parts.append((doc, tag, r.position.astype(np.int32), r.windows.astype(np.int32), r.key, r.content))
                 raw = flat.tobytes()
                 strings += [raw[a:b] for a, b in zip(r.begin.tolist(), r.end.tolist())]
@@ -255,7 +255,7 @@ def _count(window: int):
         return pa.table(
             {
                 "doc_id": pa.array(doc[head][cuts].astype(np.int64)),
-                "tag": pa.array(tag[head][cuts].astype(np.int32)),
+                "tag": pa.array(tag[head][cuts].astype(np.int64)),
                 "hits": pa.ListArray.from_arrays(pa.array(offsets), pa.array(spans)),
             }
         )
@@ -301,7 +301,8 @@ def remove_repeats(
     """Each row of `docs` with n_words, n_removed and kept_text.
 
     A word (run of anything but ASCII white space, unchanged) is removed when a window of `window_words` words that
-    covers it also starts in a row with a smaller doc_id. Windows are judged on the input.
+    covers it also starts in a row with a smaller doc_id. Windows are judged on the input. Hits return to rows by doc_id and a
+    64-bit hash of the text, so two texts under one id (or without one) would have to agree in that to share theirs.
 
     Null and blank texts have no words and keep the empty text; texts shorter than a window keep everything, with single
     spaces. A null doc_id counts as larger than all others. Rows that repeat a doc_id never remove from each other.
@@ -311,7 +312,7 @@ def remove_repeats(
     names = fresh(docs, "n_words", "n_removed", "kept_text")
     key, tag, hits = fresh(docs, "_key", "_tag", "hits")
     keyed = docs.withColumn(key, F.coalesce(F.col(doc_id).cast("long"), F.lit(int(LAST)))).withColumn(
-        tag, F.hash(text)
+        tag, F.xxhash64(text)
     )
     counted = docs.select(F.col(text).alias("text")).mapInArrow(
         _frequent("text", window_words, minimiser_words), "key long, n long, total long"
@@ -328,7 +329,7 @@ def remove_repeats(
     )
     found = (
         blocks.groupBy("bucket")
-        .applyInArrow(_count(window_words), "doc_id long, tag int, hits array<int>")
+        .applyInArrow(_count(window_words), "doc_id long, tag long, hits array<int>")
         .groupBy("doc_id", "tag")
         .agg(F.collect_list("hits").alias("hits"))  # a window is in one list of its own bucket, and one of the decided
         .toDF("_d", "_t", hits)

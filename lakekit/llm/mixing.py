@@ -1,10 +1,12 @@
 """Mixing sources to target weights, by Sainte-Lague apportionment of equal-token blocks; built-in expressions only.
 
-The mix is an integer number of blocks of `block_words` words. Sources get blocks by highest quotients target / (2k - 1); a source's blocks go
-to its shards the same way, by size. Shards hold about `shard_words` words each, whatever the source's size, so every window
-below is over a bounded number of rows. A shard's documents, in a seeded order, form one stream cut into blocks. Its quota is
-whole passes over all blocks and one more of some blocks, picked by a seeded permutation (a prime step modulo the number of
-blocks), so that each document's share follows from its place in the stream alone and no block is ever a row.
+Quotas are integer numbers of words, the equal blocks that are apportioned, so that sources of a few words get theirs too. Sources get them
+by highest quotients target / (2k - 1); a source's quota goes to its shards the same way, by size. Shards hold about
+`shard_words` words each, whatever the source's size, so the window over a shard's documents is over a bounded number of words. A shard's
+documents, in a seeded order, form one stream cut into blocks of `block_words` words, the last one shorter. Its quota is whole passes
+over all blocks and one more of some blocks, picked by a seeded permutation (a prime step modulo the number of blocks) and weighted by
+their words; the last one picked is cut where the quota ends. So each document's share follows from its place in the stream alone,
+no block is ever a row, and a shard gives exactly its quota.
 """
 
 from __future__ import annotations
@@ -98,16 +100,16 @@ def plan_mix(
     shard_words: int = 1 << 20,
     seed: int = 17,
 ) -> DataFrame:
-    """`rows` with source_size, target, passes, first_word, extra_blocks, blocks, step, shift and taken.
+    """`rows` with source_size, target, passes, first_word, extra_blocks, part_words, blocks, step, shift and taken.
 
     `rows` is read more than once and should be stored. `taken` is the number of words that the mix takes of a document: `passes` whole
-    ones, and the overlap with the blocks that are picked once more. It never exceeds `most` sizes. Documents without
+    ones, and the overlap with the `extra_blocks` that are picked once more and the first `part_words` of the next. It never exceeds `most` sizes. Documents without
     words take nothing; a null source is a source, the last; rows that repeat an id and text are ordered at will, which gives
     the same set of results. Sources without words have the target 0.
     """
     totals = rows.groupBy(F.col(source).alias("source")).agg(F.sum(size).alias("source_size"))
     targets = source_targets(totals, percent, weights, most)
-    seats = F.round(F.sum("target").over(Window.partitionBy(F.lit(0))) / block_words).cast("long")
+    seats = F.round(F.sum("target").over(Window.partitionBy(F.lit(0)))).cast("long")
     quotas = apportion(targets.withColumn("_all", F.lit(0)).withColumn("_seats", seats), ["_all"], "target", "_seats", ["_at"], "_quota")
     quotas = quotas.drop("_all", "_seats").withColumn("_shards", F.greatest(F.lit(1), F.ceil(F.col("source_size") / shard_words)))
     placed = (
@@ -120,36 +122,45 @@ def plan_mix(
     blocks = F.greatest(F.lit(1), F.ceil(F.col("_words") / block_words)).cast("long")
     mark = F.xxhash64(F.lit(seed), "_at", "_shard")
     steps = F.array(*[F.lit(s).cast("long") for s in STEPS])
+    whole = F.greatest("_words", F.lit(1))
     shards = (
         shards.withColumn("blocks", blocks)
-        .withColumn("_got", F.least("_got", F.col("blocks") * most))
-        .withColumn("passes", F.floor(F.col("_got") / F.col("blocks")))
-        .withColumn("extra_blocks", F.col("_got") - F.col("passes") * F.col("blocks"))
+        .withColumn("_got", F.least("_got", F.col("_words") * most))
+        .withColumn("passes", F.expr("_got div greatest(_words, 1L)"))
+        .withColumn("_rest", F.col("_got") - F.col("passes") * whole)
         .withColumn("step", F.element_at(steps, (F.pmod(mark, F.lit(len(STEPS))) + 1).cast("int")))
         .withColumn("shift", F.pmod(F.shiftright(mark, 8), "blocks"))
-        .drop("_got", "_words")
+        # Words picked before the short last block; once that is picked whole, the rest counts as if it were full.
+        .withColumn("_ahead", F.expr(f"pmod((blocks - 1) * step + shift, blocks) * {block_words}"))
+        .withColumn("_short", F.expr(f"blocks * {block_words} - _words"))
+        .withColumn("_rest", F.expr(f"IF(_rest - _ahead >= {block_words} - _short, _rest + _short, _rest)"))
+        .withColumn("extra_blocks", F.expr(f"_rest div {block_words}"))
+        .withColumn("part_words", F.expr(f"_rest % {block_words}"))
+        .drop("_got", "_words", "_rest", "_ahead", "_short")
     )
     stream = Window.partitionBy("_at", "_shard").orderBy("_order", doc_id, tie).rowsBetween(Window.unboundedPreceding, 0)
     return (
         placed.drop("_quota", "_shards")
         .withColumn("first_word", F.sum(size).over(stream) - F.col(size))
         .join(shards, ["_at", "_shard"])
-        .withColumn("taken", F.col("passes") * F.col(size) + F.expr(_overlap(size, block_words, "acc + least({end}, (j + 1) * {b}) - greatest(first_word, j * {b})", "0L")))
+        .withColumn("taken", F.col("passes") * F.col(size) + F.expr(_extra_words(size, block_words)))
         .drop("_at", "_shard", "_order")
     )
 
 
-#: Whether block j of a shard is picked once more.
-_PICKED = "pmod(j * step + shift, blocks) < extra_blocks"
+def _span(size: str, block: int) -> tuple[str, str, str]:
+    """SQL of the blocks that a document meets, of its first word in block j and of how many from there are picked once more."""
+    end = f"(first_word + `{size}`)"
+    blocks = f"sequence(first_word div {block}, ({end} - 1) div {block})"
+    place = "pmod(j * step + shift, blocks)"
+    picked = f"CASE WHEN {place} < extra_blocks THEN {block} WHEN {place} = extra_blocks THEN part_words ELSE 0 END"
+    first = f"greatest(j * {block}, first_word)"
+    return blocks, first, f"greatest(0, least({end}, j * {block} + {picked}) - {first})"
 
 
-def _overlap(size: str, block: int, add: str, start: str) -> str:
-    end = f"(first_word + `{size}`)"
-    step = add.format(end=end, b=block)
-    return (
-        f"CASE WHEN `{size}` > 0 AND extra_blocks > 0 THEN aggregate(sequence(first_word div {block}, ({end} - 1) div {block}), "
-        f"{start}, (acc, j) -> IF({_PICKED}, {step}, acc)) ELSE {start} END"
-    )
+def _extra_words(size: str, block: int) -> str:
+    blocks, _, words = _span(size, block)
+    return f"CASE WHEN `{size}` > 0 AND extra_blocks + part_words > 0 THEN aggregate({blocks}, 0L, (acc, j) -> acc + {words}) ELSE 0L END"
 
 
 def mix_sources(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source", block_words: int = 64, **options) -> DataFrame:
@@ -158,14 +169,12 @@ def mix_sources(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", sou
     size, tie, pieces = fresh(docs, "size", "tie", "pieces")
     rows = docs.withColumn(size, count_words(F.col(text))).withColumn(tie, F.xxhash64(text))
     planned = plan_mix(materialize(rows, "sizes"), doc_id, source, size, tie, block_words=block_words, **options)
-    end = f"(first_word + `{size}`)"
+    blocks, first, n = _span(size, block_words)
     words = f"regexp_extract_all(`{text}`, '[^\\\\x20\\\\x09-\\\\x0D]+', 0)"
-    chosen = f"filter(sequence(first_word div {block_words}, ({end} - 1) div {block_words}), j -> {_PICKED})"
     # The words are bound once, as w, and not split anew for each block.
     part = (
-        f"element_at(transform(array({words}), w -> array_join(flatten(transform({chosen}, j -> slice(w, "
-        f"CAST(greatest(j * {block_words}, first_word) - first_word + 1 AS INT), "
-        f"CAST(least({end}, (j + 1) * {block_words}) - greatest(j * {block_words}, first_word) AS INT)))), ' ')), 1)"
+        f"element_at(transform(array({words}), w -> array_join(flatten(transform({blocks}, j -> "
+        f"slice(w, CAST({first} - first_word + 1 AS INT), CAST({n} AS INT)))), ' ')), 1)"
     )
     rest = f"taken - passes * `{size}`"
     whole = F.expr(f"array_repeat(`{text}`, CAST(passes + IF({rest} = `{size}`, 1, 0) AS INT))")

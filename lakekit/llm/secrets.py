@@ -1,7 +1,7 @@
 """Secret scans: patterns name candidates, and the structure inside them confirms more.
 
 Base kinds (assign, access, hex) are reported by pattern alone. The structural kinds decode what they find first: PEM and bare base64 or hex
-keys must parse as nested DER lengths that fill the data, public-key lines as length-prefixed fields beginning with their own algorithm,
+keys must parse as nested DER lengths that fill the data, with the fields of a private key, public-key lines as length-prefixed fields beginning with their own algorithm,
 and signed tokens as JSON headers that name an algorithm. Fast byte-class searches pick the texts that need the patterns.
 """
 
@@ -27,6 +27,7 @@ _ASSIGN = re.compile(
 )
 _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _LONG_HEX = re.compile(r"[0-9a-f]{32,}")
+_PEM_EDGE = re.compile(r"-----(BEGIN|END) (?:[A-Z0-9]+ )*PRIVATE KEY-----", re.ASCII)
 _PEM = re.compile(r"-----BEGIN ((?:[A-Z0-9]+ )*PRIVATE KEY)-----([A-Za-z0-9+/=\s:,\\-]*?)-----END \1-----", re.ASCII)
 # Whole runs of the alphabet; decoding decides. The letter of a written-out \n before a key is not part of its run.
 _BASE64 = re.compile(r"(?:(?<![A-Za-z0-9+/\\])|(?<=\\)(?![nrt])|(?<=\\[nrt]))[A-Za-z0-9+/]{64,}={0,2}")
@@ -71,12 +72,58 @@ def der_fills(data: bytes, depth: int = 0) -> bool:
     return True
 
 
+def der_values(data: bytes) -> list[tuple[int, bytes]]:
+    """(tag, content) of each value of a run of DER values that `der_fills`."""
+    out, at = [], 0
+    while at < len(data):
+        tag, size = data[at], data[at + 1]
+        at += 2
+        if size & 0x80:
+            more = size & 0x7F
+            size = int.from_bytes(data[at : at + more], "big")
+            at += more
+        out.append((tag, data[at : at + size]))
+        at += size
+    return out
+
+
 def is_key(data: bytes) -> bool:
-    """A DER key: a sequence that fills the data and holds a version, numbers or a nested algorithm."""
+    """A private key in DER: a sequence that fills the data and begins with a version of 0 to 3 before other fields, or that is an
+    algorithm and the octets it encrypts. Public keys (an algorithm and bits, or a modulus and exponent) and certificates are neither."""
     if len(data) < 32 or data[0] != 0x30 or not der_fills(data):
         return False
-    inner = 2 + (data[1] & 0x7F if data[1] & 0x80 else 0)
-    return len(data) > inner and data[inner] in (0x02, 0x30)
+    ((_, body),) = der_values(data)
+    inner = der_values(body)
+    if len(inner) < 2:
+        return False
+    (tag, first), (second, _) = inner[:2]
+    if tag == 0x02:
+        return len(first) == 1 and first[0] <= 3
+    return tag == 0x30 and first[:1] == b"\x06" and second == 0x04 and len(inner) == 2
+
+
+_OPENSSH = b"openssh-key-v1\0"
+
+
+def is_openssh_key(data: bytes) -> bool:
+    """An OpenSSH private key: cipher, kdf and its options, a number of keys, a public field for each and one private field, which end
+    where the data does; if it is not encrypted, the private field begins with the same four bytes twice."""
+    at, found, left = len(_OPENSSH), [], 3
+    if not data.startswith(_OPENSSH):
+        return False
+    while left:
+        size = int.from_bytes(data[at : at + 4], "big")
+        if at + 4 + size > len(data):
+            return False
+        found.append(data[at + 4 : at + 4 + size])
+        at, left = at + 4 + size, left - 1
+        if len(found) == 3:
+            keys = int.from_bytes(data[at : at + 4], "big")
+            if at + 4 > len(data) or not 1 <= keys <= len(data) // 4:
+                return False
+            at, left = at + 4, keys + 1
+    private = found[-1]
+    return at == len(data) and len(private) >= 8 and (found[0] != b"none" or private[:4] == private[4:8])
 
 
 def fields(data: bytes) -> list[bytes] | None:
@@ -103,13 +150,23 @@ def _decode(text: str, url: bool = False) -> bytes:
         return b""
 
 
+def _pem_blocks(text: str):
+    """Matches of _PEM from each BEGIN line to an END line that comes before any other BEGIN; one pass over the edges."""
+    begin = None
+    for edge in _PEM_EDGE.finditer(text):
+        if edge[1] == "BEGIN":
+            begin = edge
+        elif begin:
+            if m := _PEM.fullmatch(text, begin.start(), edge.end()):
+                yield m
+            begin = None
+
+
 def _pem(m: re.Match) -> bool:
     body = re.sub(r"\\+(?:[nrt]|(?=\s))", "\n", m[2]).replace("\\", "")  # written-out line ends, and \/
     body = re.sub(r"(?m)^[A-Za-z0-9-]+:.*$", "", body)  # encryption headers
     data = _decode(body)
-    if data.startswith(b"openssh-key-v1\0"):
-        return True
-    return is_key(data) or ("ENCRYPTED" in m[2] and len(data) >= 32)
+    return is_key(data) or is_openssh_key(data) or ("ENCRYPTED" in m[2] and len(data) >= 32)
 
 
 def _ssh(m: re.Match) -> bool:
@@ -125,25 +182,25 @@ def _jwt(m: re.Match) -> bool:
     return isinstance(header, dict) and isinstance(header.get("alg"), str) and isinstance(body, dict) and len(_decode(m[3], url=True)) >= 16
 
 
-#: Kind, pattern, test of a match.
+#: Kind, matches in a text, test of a match.
 _RULES = (
-    ("assign", _ASSIGN, lambda m: len(m[2]) >= 8),
-    ("access", _ACCESS, lambda m: len(m[0]) >= 16),
-    ("hex", _LONG_HEX, lambda m: True),  # a run of 32 or more is the whole run: shorter ones fail
-    ("pem", _PEM, _pem),
-    ("der", _BASE64, lambda m: is_key(_decode(m[0]))),
-    ("hexkey", _HEX_KEY, lambda m: len(m[0]) % 2 == 0 and is_key(bytes.fromhex(m[0]))),
-    ("sshkey", _SSH, _ssh),
-    ("jwt", _JWT, _jwt),
+    ("assign", _ASSIGN.finditer, lambda m: len(m[2]) >= 8),
+    ("access", _ACCESS.finditer, lambda m: len(m[0]) >= 16),
+    ("hex", _LONG_HEX.finditer, lambda m: True),  # a run of 32 or more is the whole run: shorter ones fail
+    ("pem", _pem_blocks, _pem),
+    ("der", _BASE64.finditer, lambda m: is_key(_decode(m[0]))),
+    ("hexkey", _HEX_KEY.finditer, lambda m: len(m[0]) % 2 == 0 and is_key(bytes.fromhex(m[0]))),
+    ("sshkey", _SSH.finditer, _ssh),
+    ("jwt", _JWT.finditer, _jwt),
 )
 
 
 def secret_spans(text: str, kinds=KINDS) -> list[tuple[int, int, int]]:
     """(start, place of the kind in KINDS, end) of each confirmed span, sorted; positions count code points."""
     found = []
-    for kind, pattern, test in _RULES:
+    for kind, matches, test in _RULES:
         if kind in kinds:
-            found += [(m.start(), KINDS.index(kind), m.end()) for m in pattern.finditer(text) if test(m)]
+            found += [(m.start(), KINDS.index(kind), m.end()) for m in matches(text) if test(m)]
     return sorted(found)
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lakekit.llm import common
-from lakekit.llm.common import materialize, read
+from lakekit.llm.common import fresh, materialize, read
 from lakekit.llm.decontaminate import remove_contaminated
 from lakekit.llm.mixing import mix_sources
 from lakekit.llm.ngram_jaccard import jaccard_components
@@ -41,12 +41,22 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 @_stage
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The smallest id of each group of documents that links of 5-word shingles at 80 % connect, in one row; null ids stay."""
-    found = jaccard_components(docs, shingle_words=5, percent=80)
-    kept = found.where("doc_id = component_id").select("doc_id").distinct()
-    first = F.row_number().over(Window.partitionBy("doc_id").orderBy("text", *[c for c in docs.columns if c not in ("doc_id", "text")]))
-    one = docs.join(kept, "doc_id", "left_semi").withColumn("_first", first).where("_first = 1").drop("_first")
-    return one.unionByName(docs.where("doc_id is null")).select(*docs.columns)
+    """One document of each group that links of 5-word shingles at 80 % connect: that with the smallest id, ids before null.
+
+    A document is an id with a text (told apart by a 64-bit hash of both), so unrelated texts under one id, or without one, all stay;
+    of rows that repeat both, one stays. Texts without words are documents like others, and link with nothing.
+    """
+    node, first = fresh(docs, "node", "first")
+    key = F.xxhash64(F.coalesce("doc_id", F.lit(-1)), F.col("doc_id").isNull(), F.coalesce("text", F.lit("")), F.col("text").isNull())
+    links = jaccard_components(docs.select(key.alias("doc_id"), "text"), shingle_words=5, percent=80)
+    ids = docs.select(key.alias("_node"), F.col("doc_id").cast("long").alias("_id"))
+    # Narrow rows: ids only. Nulls are the largest, ties go to the smaller hash.
+    least = F.min(F.struct(F.col("_id").isNull().alias("none"), "_id", "_node")).alias("least")
+    kept = links.distinct().join(ids.distinct(), F.col("doc_id") == F.col("_node")).groupBy("component_id").agg(least)
+    kept = kept.select(F.col("least._node").alias(node))
+    ties = F.row_number().over(Window.partitionBy(node).orderBy(*[F.col(f"`{c}`") for c in docs.columns]))
+    one = docs.withColumn(node, key).join(kept, node, "left_semi").withColumn(first, ties).where(F.col(first) == 1)
+    return one.select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 @_stage

@@ -40,6 +40,16 @@ def test_near_duplicates(stages):
     assert sorted(r.doc_id for r in stages[2].select("doc_id").collect()) == sorted(i for i, (_, c) in found.items() if i == c)
 
 
+def test_near_duplicates_of_many_texts_under_one_id(spark, stages):
+    text = lambda name, n=40: " ".join(f"{name}{i}" for i in range(n))
+    rows = [(1, text("a")), (1, text("b")), (1, text("c")), (1, text("c")), (None, text("d")), (None, text("e")), (None, text("a") + " z")]
+    rows += [(2, text("b") + " more"), (0, text("f")), (3, text("f")), (None, None), (None, ""), (None, ""), (7, None), (7, "")]
+    docs = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in rows], stages[0].schema)
+    got = sorted(((r.doc_id, r.text) for r in cp.near_duplicates(spark, docs, SF).collect()), key=str)
+    want = [(1, text("a")), (1, text("b")), (1, text("c")), (None, text("d")), (None, text("e")), (0, text("f"))]
+    assert got == sorted([*want, (None, None), (None, ""), (7, None), (7, "")], key=str)
+
+
 def test_decontamination(spark, stages):
     items = [(r.item_id, r.text) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
     found = brute.contamination([(r.doc_id, r.text) for r in stages[2].select("doc_id", "text").collect()], items)

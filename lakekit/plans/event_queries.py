@@ -388,9 +388,36 @@ HISTORY = f"""
     FROM events WHERE event_type IN ('signup', 'click', 'purchase')"""
 
 
-@query("schema_history", HISTORY)
+@query(
+    "schema_history",
+    """
+    WITH RECURSIVE e AS (
+      SELECT user_id AS table_id, ts, event_id, event_type AS kind, 'c' || CAST(json_extract_string(props, '$.k') AS INT) % 10 AS c,
+             'c' || (CAST(json_extract_string(props, '$.k') AS INT) % 10 + 1) % 10 AS onward,
+             'user-' || CAST(json_extract_string(props, '$.k') AS INT) % 10 AS changed_by,
+             row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS n
+      FROM events WHERE event_type IN ('signup', 'click', 'purchase', 'error')),
+    s AS (
+      SELECT DISTINCT table_id, CAST(0 AS BIGINT) AS n, ['id', 'amount'] AS names, CAST(1 AS BIGINT) AS version,
+             CAST('' AS VARCHAR) AS change_summary FROM e
+      UNION ALL
+      SELECT t.table_id, t.n,
+             CASE t.kind WHEN 'signup' THEN list_append(names, c) WHEN 'purchase' THEN list_filter(names, lambda x: x <> c)
+               ELSE CASE WHEN place IS NULL THEN names ELSE list_concat(names[1:place - 1], [new], names[place + 1:]) END END,
+             version + CASE WHEN t.kind IN ('signup', 'purchase') OR place IS NOT NULL THEN 1 ELSE 0 END,
+             CASE t.kind WHEN 'signup' THEN 'Added column: ' || c || ' (string)' WHEN 'purchase' THEN 'Dropped column: ' || c
+               ELSE CASE WHEN place IS NULL THEN '' ELSE 'Renamed column: ' || old || ' -> ' || new END END
+      FROM (SELECT e.*, s.names, s.version, CASE e.kind WHEN 'click' THEN e.c ELSE 'amount' END AS old,
+                   CASE e.kind WHEN 'click' THEN e.onward ELSE e.c END AS new,
+                   list_position(s.names, CASE e.kind WHEN 'click' THEN e.c ELSE 'amount' END) AS place
+            FROM s JOIN e ON e.table_id = s.table_id AND e.n = s.n + 1) t)
+    SELECT e.table_id, e.ts, e.event_id, s.version, array_to_string(s.names, ',') AS fields, s.change_summary, e.changed_by
+    FROM s JOIN e USING (table_id, n) WHERE s.change_summary <> ''
+    """,
+)
 def schema_history(spark, d):
-    rows = sch.history(fx.schema_changes(spark, d), "table_id", ["ts", "event_id"])
+    start = [sch.Field("id", "long"), sch.Field("amount", "decimal")]
+    rows = sch.accumulate(fx.schema_log(spark, d), "table_id", ["ts", "event_id"], start)
     return rows.withColumn("fields", _names(F.col("fields")))
 
 

@@ -164,5 +164,25 @@ def schema_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def schema_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """events as change requests that build on each other: sign-ups add columns, clicks rename them on, purchases drop them, errors
+    rename what is seldom there; other events request nothing."""
+    number = json_field("props", "$.k", "int") % 10
+    name, onward = F.concat(F.lit("c"), number), F.concat(F.lit("c"), (number + 1) % 10)
+    kind = F.col("event_type")
+    field = F.struct(name.alias("name"), F.lit("string").alias("type"), F.lit(True).alias("nullable"), F.lit(None).cast("string").alias("description"))
+    pair = F.when(kind == "click", F.struct(name.alias("old"), onward.alias("new")))
+    pair = pair.when(kind == "error", F.struct(F.lit("amount").alias("old"), name.alias("new")))
+    return table(spark, sf_dir, "events", ["event_id", "ts", "user_id", "event_type", "props"]).select(
+        F.col("user_id").alias("table_id"),
+        "ts",
+        "event_id",
+        F.when(kind == "signup", F.array(field)).cast(f"array<{FIELD}>").alias("add"),
+        F.when(kind == "purchase", F.array(name)).alias("drop"),
+        F.when(pair.isNotNull(), F.array(pair)).alias("rename"),
+        F.concat(F.lit("user-"), number).alias("changed_by"),
+    )
+
+
 def event_schema(spark: SparkSession, sf_dir: str) -> T.StructType:
     return table(spark, sf_dir, "events").schema

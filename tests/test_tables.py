@@ -152,6 +152,40 @@ def test_history(spark):
     ]
 
 
+@pytest.mark.parametrize("run_rows", [None, 3])
+def test_changes_build_on_each_other(spark, run_rows):
+    """Add, rename, rename, drop, add again; in one task, or run after run."""
+    field = lambda n, t="string": (n, t, True, None)
+    steps = [
+        ([field("x")], [], []),
+        ([], [], [("x", "y")]),
+        (None, None, [("x", "lost")]),  # x is gone: nothing to log
+        ([], [], [("y", "z"), ("amount", "total")]),
+        ([], ["z", "none"], []),
+        ([], [], [("z", "lost")]),
+        ([field("x", "int"), field("x")], [], [("x", "first")]),
+        ([], ["id"], []),
+        ([], [], []),
+    ]
+    kind = f"t string, ts int, add array<{sch.FIELD}>, drop array<string>, rename array<struct<old:string,new:string>>, changed_by string"
+    data = [("a", i, *s, f"u{i}") for i, s in enumerate(steps)] + [("b", 0, [field("k")], [], [], "u"), (None, None, [], ["id"], [], None)]
+    start = [sch.Field("id", "long", False), sch.Field("amount", "decimal")]
+    changes = spark.createDataFrame(data[::-1], kind).repartition(3)
+    got = sch.accumulate(changes, "t", ["ts"], start, run_rows).collect()
+    a = sorted((r for r in got if r["t"] == "a"), key=lambda r: r["version"])
+    assert [(r["ts"], r["version"], ",".join(f["name"] for f in r["fields"]), r["change_summary"], r["changed_by"]) for r in a] == [
+        (0, 2, "id,amount,x", "Added column: x (string)", "u0"),
+        (1, 3, "id,amount,y", "Renamed column: x -> y", "u1"),
+        (3, 4, "id,total,z", "Renamed column: y -> z; Renamed column: amount -> total", "u3"),
+        (4, 5, "id,total", "Dropped column: z; Dropped column: none", "u4"),
+        (6, 6, "id,total,first,x", "Added column: x (int); Added column: x (string); Renamed column: x -> first", "u6"),
+        (7, 7, "total,first,x", "Dropped column: id", "u7"),
+    ]
+    assert [f["type"] for f in a[4]["fields"]] == ["long", "decimal", "int", "string"]
+    assert sorted((r["t"] or "", r["version"], len(r["fields"])) for r in got if r["t"] != "a") == [("", 2, 1), ("b", 2, 3)]
+    assert sch.accumulate(changes.where("false"), "t", ["ts"], start, run_rows).count() == 0
+
+
 def test_mixed_schema(spark, tmp_path):
     path = str(tmp_path / "m")
     write(spark.createDataFrame([(1,)], "a int"), path, "append")

@@ -185,7 +185,7 @@ def divergence(
     by_value = [F.desc("value"), F.asc("item")]
     rank = F.row_number().over(Window.partitionBy("lang", "source").orderBy(*by_value))
 
-    priced = own.join(groups.drop("all_total"), ["lang", "source"]).join(langs.drop("terms"), "lang")
+    priced = own.join(groups, ["lang", "source"])  # not by lang alone, which may be one for most rows
     priced = priced.withColumn("p", probability("n", "total", "terms")).withColumn("q", probability("all_n", "all_total", "terms"))
     terms = (
         priced.where("p > q")

@@ -11,7 +11,7 @@ at random separate nothing. Pivots are therefore elected by what documents share
    and need no further comparing with each other. The others compare with documents in their triangle-inequality window
    |d(x, p) - d(y, p)| <= r, and only across components that are not connected yet.
    Before that, documents whose profiles (shingle counts by hash class, whose distance never exceeds the documents' own) are
-   too far from every other of the region leave it, so that whole sets are fetched for few.
+   too far from every other of the region leave it, so that whole sets are fetched for few, and what is left in groups is compared once.
 3. A region above `region_docs` documents or `region_bytes` of sets is joined recursively. Its pivot becomes the set of the shingles
    that at least half of its documents hold, and documents are written as their differences D to it. Sets link when
    (100 + percent) |x - y| <= (100 - percent) (|x| + |y|) in differing elements, and |x - y| = |Dx| + |Dy| - 2 |Dx & Dy|; so with
@@ -39,7 +39,7 @@ from lakekit.llm.components import components
 BIN_BITS = 24  # bins of the shingle count sketch; two bits each, 4 MB in every Python worker
 RANGE_BITS = 6  # the sketch is counted in so many ranges, one task each
 FLUSH = 4 << 20  # shingles that a task counts together
-CLASSES = 128  # hash classes of a document's profile, two bytes each
+CLASSES = 128, 4096  # hash classes of a document's profile, two bytes each: least and most
 
 
 def shingle_sets(data, offsets, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -142,6 +142,11 @@ def _need(n: int, percent: int) -> int:
     return -(-n * percent // 100)
 
 
+def _width(size: np.ndarray) -> np.ndarray:
+    """Classes in the profile of a set: a power of two, at about 16 shingles each, where profiles of unrelated sets still differ."""
+    return (1 << np.ceil(np.log2(np.clip(size / 16, *CLASSES))).astype(np.int64)).astype(np.int64)
+
+
 def _features(doc_id: str, text: str, k: int, percent: int, order):
     """(doc_id, text_id, n_shingles, digest, class, profile, prefix) for each document."""
 
@@ -152,8 +157,11 @@ def _features(doc_id: str, text: str, k: int, percent: int, order):
                 level = order.value.level(s)
                 prefix, digest, size = [], [], np.diff(at)
                 doc = np.repeat(np.arange(len(size)), size)
-                profile = np.bincount(doc * CLASSES + (s % np.uint64(CLASSES)).astype(np.int64), minlength=len(size) * CLASSES)
-                profile = np.minimum(profile.reshape(-1, CLASSES), 0xFFFF).astype(np.uint16)
+                width = _width(size)
+                first = np.cumsum(width) - width
+                counts = np.bincount(first[doc] + (s.astype(np.int64) & (width[doc] - 1)), minlength=width.sum())
+                counts = np.minimum(counts, 0xFFFF).astype(np.uint16)
+                profile = [counts[a : a + w].tobytes() for a, w in zip(first, width)]
                 for a, b in zip(at[:-1], at[1:]):
                     own, n = s[a:b], int(b - a)
                     digest.append(_digest(own) if n else None)
@@ -168,7 +176,7 @@ def _features(doc_id: str, text: str, k: int, percent: int, order):
                         "n_shingles": size.astype(np.int64),
                         "digest": pa.array(digest, pa.binary()),
                         "class": pa.array([d and int.from_bytes(d[:8], "little", signed=True) for d in digest], pa.int64()),
-                        "profile": pa.array([x.tobytes() for x in profile], pa.binary()),
+                        "profile": pa.array(profile, pa.binary()),
                         "prefix": list_array(values.view(np.int64), lengths),
                     }
                 )
@@ -263,29 +271,44 @@ def _join_region(percent: int):
 
 
 def _may_link(percent: int):
-    """The (region, digest) of a region that may link to another of its documents, by profiles alone.
+    """(region, digest) of the documents of a region that may link to each other, by profiles alone, one region for each group of them.
 
     Profiles count shingles by hash class, so the sum of class minima is at least the intersection: distance between profiles never
     exceeds the documents' own, and nothing that links is lost. A class count at its limit of 65535 proves nothing and passes.
+    Groups are named by their members, so that a group which several pivots brought together is compared once.
     """
 
     def run(table: pa.Table) -> pa.Table:
         table = table.sort_by([("n_shingles", "ascending")])
         size = table.column("n_shingles").to_numpy()
-        profile = np.stack([np.frombuffer(x, np.uint16) for x in table.column("profile").to_pylist()])
-        full = (profile == 0xFFFF).any(1)
-        keep = np.zeros(len(size), bool)
+        digests = table.column("digest").to_pylist()
+        profiles = [np.frombuffer(x, np.uint16).astype(np.uint32) for x in table.column("profile").to_pylist()]
+        full = np.array([(p == 0xFFFF).any() for p in profiles])
+        width = np.array([len(p) for p in profiles])
+        group = np.arange(len(size))
         last = np.searchsorted(size, size * 100 // percent, side="right")
+        start = at = 0
         for i in range(len(size)):
+            if width[i] != at:  # larger sets have wider profiles, which are folded to those of the sets at hand
+                start, at = i, int(width[i])
+                end = last[np.searchsorted(width, at, side="right") - 1]
+                profile = np.stack([p.reshape(-1, at).sum(0, dtype=np.uint32) for p in profiles[start:end]])
             others = np.arange(i + 1, last[i])
-            if not len(others) or (keep[i] and keep[others].all()):
+            others = others[group[others] != group[i]]
+            if not len(others):
                 continue
-            most = np.minimum(profile[others], profile[i]).sum(1, dtype=np.int64)
+            most = np.minimum(profile[others - start], profile[i - start]).sum(1, dtype=np.int64)
             most[full[others] | full[i]] = size[i]
             near = others[_linked(most, size[others], size[i], percent)]
             if len(near):
-                keep[i] = keep[near] = True
-        return pa.table({"region": table.column("region"), "digest": table.column("digest")}).filter(pa.array(keep))
+                group[np.isin(group, group[near])] = group[i]
+        regions, members = [], []
+        for one in np.flatnonzero(np.bincount(group, minlength=len(size)) > 1):
+            own = sorted(digests[i] for i in np.flatnonzero(group == one))
+            name = hashlib.blake2b(b"".join(own), digest_size=8).digest()
+            regions += [int.from_bytes(name, "little", signed=True)] * len(own)
+            members += own
+        return pa.table({"region": pa.array(regions, pa.int64()), "digest": pa.array(members, pa.binary())})
 
     return run
 
@@ -461,6 +484,7 @@ def jaccard_components(
         .select("region", "digest", "n_shingles", "profile")
         .groupBy("region")
         .applyInArrow(_may_link(percent), "region long, digest binary")
+        .distinct()
     )
     far = placed.where("large").select("region", "digest")
     level = materialize(near.unionByName(far), "level")

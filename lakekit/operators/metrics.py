@@ -126,18 +126,49 @@ def histogram(
     return wide.select("window_start", *series, F.inline(buckets))
 
 
+def _rising(buckets: Column) -> Column:
+    """Sorted buckets with each count at least that of the bucket before."""
+
+    def upto(bucket: Column, at: Column) -> Column:
+        counts = F.transform(F.slice(buckets, F.lit(1), at + 1), lambda b: b["_count"])
+        return F.struct(bucket["_bound"].alias("_bound"), F.array_max(counts).alias("_count"))
+
+    return F.transform(buckets, upto)
+
+
+def quantile_over_time(
+    df: DataFrame,
+    q: float,
+    series: list[str],
+    by: list[str],
+    order: list[str],
+    val: str,
+    le: str = "le",
+    width: str = "5 minutes",
+    run_rows: int | None = None,
+) -> DataFrame:
+    """Quantile in each window and `by` group, from bucket counters: one growing counter for each series and bound `le`.
+
+    Buckets count by their growth in the window (resets as in `deltas`), summed over the series of a group.
+    """
+    grown = increase(df, [*dict.fromkeys([*series, le])], order, val, width, run_rows)
+    return hist_quantile(grown, q, ["window_start", *by], le, "increase")
+
+
 def hist_quantile(
     df: DataFrame, q: float, by: list[str], le: str = "le", cumulative: str = "cumulative"
 ) -> DataFrame:
     """Quantile from cumulative buckets, linear within the bucket that holds the rank.
 
-    A group's array holds one entry for each bucket bound, as buckets are summed first.
+    A group's array holds one entry for each bucket bound, as buckets are summed first. A bucket below a smaller one, as resets that
+    only some buckets show can leave it, is raised to that one. Groups without growth or without `+Inf` give null.
     """
     bound = F.when(F.col(le) == "+Inf", F.lit(float("inf"))).otherwise(F.col(le).try_cast("double"))
     summed = df.groupBy(*by, bound.alias("_bound")).agg(F.sum(cumulative).alias("_count"))
     group = summed.groupBy(*by).agg(
         F.sort_array(F.collect_list(F.struct("_bound", "_count"))).alias("_buckets")
     )
+    group = group.withColumn("_buckets", _rising(F.col("_buckets")))
     buckets = F.col("_buckets")
     total = F.element_at(buckets, -1)
     rank = total["_count"] * F.lit(q)

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from lakekit.functions import logs as lg
 from lakekit.functions import scalars as sc
+from lakekit.operators.ordered import Ordered
 from lakekit.operators import layout as lo
 from lakekit.operators import metrics as m
 from lakekit.operators import paging as p
@@ -93,11 +94,14 @@ def activity_rates(spark, d):
 
 
 BOUNDS = [10, 25, 50, 100, 250]
-HISTOGRAM = " UNION ALL ".join(
-    f"""SELECT {_bucket(5)} AS window_start, event_type, '{b if b else '+Inf'}' AS le,
+HISTOGRAM, SAMPLED = (
+    " UNION ALL ".join(
+        f"""SELECT {_bucket(minutes)} AS window_start, event_type, '{b if b else '+Inf'}' AS le,
                count(*) FILTER (WHERE {f'value <= {b}' if b else 'value IS NOT NULL'}) AS cumulative
         FROM events GROUP BY ALL"""
-    for b in [*BOUNDS, None]
+        for b in [*BOUNDS, None]
+    )
+    for minutes in (5, 15)
 )
 
 
@@ -108,18 +112,27 @@ def histogram_build(spark, d):
 
 @query(
     "histogram_quantile",
-    f"""WITH b AS (SELECT event_type, CASE WHEN le = '+Inf' THEN 1e308 ELSE le::DOUBLE END AS bound,
-                          sum(cumulative) AS cum FROM ({HISTOGRAM}) GROUP BY ALL),
+    f"""WITH c AS (SELECT *, sum(cumulative) OVER (PARTITION BY event_type, le, window_start::DATE ORDER BY window_start) AS value
+                   FROM ({SAMPLED})),
+             p AS (SELECT *, lag(value) OVER (PARTITION BY event_type, le ORDER BY window_start) AS p FROM c),
+             d AS (SELECT *, CASE WHEN p IS NULL THEN 0 WHEN value < p THEN value ELSE value - p END AS delta FROM p),
+             b AS (SELECT time_bucket(INTERVAL '1 hour', window_start) AS hour, event_type,
+                          CASE WHEN le = '+Inf' THEN 1e308 ELSE le::DOUBLE END AS bound, sum(delta) AS raw FROM d GROUP BY ALL),
+             m AS (SELECT *, max(raw) OVER (PARTITION BY hour, event_type ORDER BY bound) AS cum FROM b),
              r AS (SELECT *, lag(bound, 1, 0) OVER w AS low, lag(cum, 1, 0) OVER w AS under,
-                          0.95 * max(cum) OVER (PARTITION BY event_type) AS rank
-                   FROM b WINDOW w AS (PARTITION BY event_type ORDER BY bound)),
-             h AS (SELECT *, row_number() OVER (PARTITION BY event_type ORDER BY bound) AS n FROM r WHERE cum >= rank)
-        SELECT event_type, round(CASE WHEN bound = 1e308 THEN low
+                          0.95 * max(cum) OVER (PARTITION BY hour, event_type) AS rank
+                   FROM m WINDOW w AS (PARTITION BY hour, event_type ORDER BY bound)),
+             h AS (SELECT *, row_number() OVER (PARTITION BY hour, event_type ORDER BY bound) AS n FROM r WHERE cum >= rank)
+        SELECT hour AS window_start, event_type, round(CASE WHEN rank = 0 THEN NULL WHEN bound = 1e308 THEN low
                  ELSE low + (bound - low) * (rank - under) / (cum - under) END, 6) AS quantile FROM h WHERE n = 1""",
 )
 def histogram_quantile(spark, d):
-    buckets = m.histogram(fx.table(spark, d, "events"), ["event_type"], "ts", "value", BOUNDS)
-    return m.hist_quantile(buckets, 0.95, ["event_type"]).withColumn("quantile", F.round("quantile", 6))
+    """p95 of each hour from bucket counters, sampled each quarter of an hour, that restart every day."""
+    rows = m.histogram(fx.table(spark, d, "events"), ["event_type"], "ts", "value", BOUNDS, "15 minutes")
+    daily = Ordered(rows.withColumn("day", F.to_date("window_start")), ["event_type", "le", "day"], ["window_start"])
+    counters = daily.running(sums={"value": F.col("cumulative")}).result().withColumnRenamed("window_start", "ts")
+    found = m.quantile_over_time(counters, 0.95, ["event_type"], ["event_type"], ["ts"], "value", width="1 hour")
+    return found.withColumn("quantile", F.round("quantile", 6))
 
 
 COUNT_OVER_TIME = f"SELECT {_bucket(15)} AS window_start, job_id, count(*) AS count FROM ({LOGS}) GROUP BY ALL"

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from lakekit.operators.windows import first_rows
 from lakekit.plans import fixtures as fx
 from lakekit.plans.core_queries import LOGS
-from lakekit.plans.event_queries import LIFECYCLE, PARSED, plain_times
+from lakekit.plans.event_queries import DELTAS, LIFECYCLE, PARSED, plain_times
 from lakekit.plans.registry import query
 from lakekit.session import scratch_path
 from lakekit.streaming import streams as st
@@ -69,16 +69,19 @@ def stream_count_over_time(spark, d):
 
 @query(
     "stream_sliding_rate",
-    """SELECT w AS window_start, event_type, count(*) / 300.0::DOUBLE AS rate
-       FROM (SELECT event_type, time_bucket(INTERVAL '1 minute', ts) - to_minutes(unnest([0, 1, 2, 3, 4])) AS w FROM events)
-       GROUP BY ALL""",
+    f"""SELECT w AS window_start, job, sum(delta) / 300.0::DOUBLE AS rate
+        FROM (SELECT job, delta, time_bucket(INTERVAL '1 minute', ts) - to_minutes(unnest([0, 1, 2, 3, 4])) AS w FROM ({DELTAS}))
+        GROUP BY ALL""",
 )
 def stream_sliding_rate(spark, d):
+    """Counters that restart every day, streamed from files that hold their samples in any order."""
+    samples = scratch_path(spark, "counter-samples")
+    counters = fx.counters(spark, d)
+    counters.write.parquet(samples)
     out, checkpoint = _out(spark, "rates")
-    counts = lambda b: st.windowed_counts(b, ["event_type"], "ts", "5 minutes", "1 minute")
-    st.run_parts(_events(spark, d), out, checkpoint, counts)
-    rates = st.read_parts(spark, out).groupBy("window_start", "event_type").agg((F.sum("count") / F.lit(300.0)).alias("rate"))
-    return rates.withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
+    panes = lambda batch: st.pane_samples(batch, fx.COUNTER_SERIES, ["ts", "event_id"], "value")
+    st.run_parts(st.file_stream(spark, samples, counters.schema), out, checkpoint, panes)
+    return st.counter_rates(st.read_parts(spark, out), fx.COUNTER_SERIES, ["job"])
 
 
 @query(

@@ -9,12 +9,14 @@ from __future__ import annotations
 from collections.abc import Callable
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter
 
 from lakekit.functions.logs import add_labels, parse_log
+from lakekit.operators.metrics import width_seconds
+from lakekit.operators.ordered import Ordered
 
 # Bounds a micro-batch, and with it the rows that one key can bring to one task at a time.
 MAX_BYTES_PER_TRIGGER = 64 << 30
@@ -166,14 +168,64 @@ def sliding_rate(
     delay: str = "10 minutes",
 ) -> DataFrame:
     """Rows per second in a window that moves on by `step`; each row falls into width / step windows."""
-    from lakekit.operators.metrics import width_seconds
-
     grouped = sdf.withWatermark(ts, delay).groupBy(F.window(ts, width, step).alias("_window"), *series)
     return grouped.agg((F.count("*") / F.lit(width_seconds(width))).alias("rate")).select(
         F.col("_window.start").alias("window_start"), *series, "rate"
     )
 
 
+def pane_samples(batch: DataFrame, series: list[str], order: list[str], val: str, step: str = "1 minute") -> DataFrame:
+    """The counter samples of a micro-batch, packed by series and pane of `step` length; the first `order` column is the time.
+
+    Samples of a pane may be spread over micro-batches in any order, so the growth between them is only known after merging.
+    """
+    sample = F.struct(*order, F.col(val).alias("_value"))
+    panes = batch.groupBy(F.window(order[0], step).alias("_window"), *series).agg(F.collect_list(sample).alias("samples"))
+    return panes.select(F.col("_window.start").alias("pane"), *series, "samples")
+
+
+def counter_rates(
+    panes: DataFrame,
+    series: list[str],
+    by: list[str],
+    width: str = "5 minutes",
+    step: str = "1 minute",
+    run_rows: int | None = None,
+) -> DataFrame:
+    """Growth per second of counters in windows of `width` that move on by `step`, summed over the series of each `by` group.
+
+    `panes` is what `pane_samples` gave for all micro-batches. A lower value means that the counter restarted from zero; growth
+    counts at its later sample, and the first sample of a series adds nothing. Each pane, not each sample, goes to its windows.
+    """
+    value = panes.schema["samples"].dataType.elementType["_value"].dataType
+    whole = panes.groupBy("pane", *series).agg(F.sort_array(F.flatten(F.collect_list("samples"))).alias("_samples"))
+    values = F.transform("_samples", lambda s: s["_value"])
+    rest = F.size("_samples") - 1
+
+    def growth(now: Column, before: Column) -> Column:
+        return F.when(now < before, now).otherwise(now - before)
+
+    steps = F.zip_with(F.slice(values, F.lit(2), rest), F.slice(values, F.lit(1), rest), growth)
+    ends = whole.select(
+        "pane",
+        *series,
+        F.get(values, F.lit(0)).alias("_first"),
+        F.element_at(values, -1).alias("_last"),
+        F.aggregate(steps, F.lit(0).cast(value), lambda total, x: (total + x).cast(value)).alias("_inside"),
+    )
+    carried = F.when(F.col("_before").isNull(), F.lit(0)).otherwise(growth(F.col("_first"), F.col("_before")))
+    grown = (
+        Ordered(ends, series, ["pane"], run_rows)
+        .sliding(1, lambda rows, spec: rows.withColumn("_before", F.lag("_last").over(spec)))
+        .map(lambda rows: rows.withColumn("_growth", F.col("_inside") + carried))
+        .result()
+    )
+    back = F.expr(f"INTERVAL '{width_seconds(width) - width_seconds(step)}' SECOND")
+    starts = F.sequence(F.col("pane") - back, F.col("pane"), F.expr(f"INTERVAL '{width_seconds(step)}' SECOND"))
+    per_second = (F.sum("_growth") / F.lit(float(width_seconds(width)))).alias("rate")
+    return grown.select(F.explode(starts).alias("window_start"), *by, "_growth").groupBy("window_start", *by).agg(per_second)
+
+
 def cancellations(sdf: DataFrame, schema: T.StructType | str, value: str = "value") -> DataFrame:
     """The cancel requests among JSON events."""
     event = F.from_json(F.col(value).cast("string"), schema)

@@ -63,6 +63,17 @@ def test_quantile_of_nothing(spark):
     assert [r["quantile"] for r in m.hist_quantile(empty, 0.9, ["job"]).collect()] == [None, None]
 
 
+def test_quantile_for_each_window_from_counters(spark):
+    # (le, second, value): the second window has grown by 0, 10, 10; the third follows a restart that bucket 25 does not show.
+    values = [("10", 0, 4), ("25", 0, 4), ("+Inf", 0, 9), ("10", 100, 6), ("25", 100, 8), ("+Inf", 100, 13)]
+    values += [("10", 400, 6), ("25", 400, 18), ("+Inf", 400, 23), ("10", 700, 5), ("25", 700, 19), ("+Inf", 700, 8)]
+    df = spark.createDataFrame(values, "le string, sec long, value long").withColumn("ts", F.timestamp_seconds("sec"))
+    df = df.withColumn("job", F.lit("a"))
+    got = m.quantile_over_time(df, 0.5, ["job"], ["job"], ["ts"], "value").orderBy("window_start").collect()
+    # Growth 2, 4, 4; then 0, 10, 10; then 5, 1 (raised to 5), 8.
+    assert [r["quantile"] for r in got] == [pytest.approx(10), pytest.approx(17.5), pytest.approx(8)]
+
+
 def test_bucket_bounds_are_inclusive(spark):
     df = spark.createDataFrame([("a", 10.0), ("a", 10.5), ("a", None)], "job string, v double")
     got = m.histogram(df.withColumn("ts", F.timestamp_seconds(F.lit(0))), ["job"], "ts", "v", [10, 25]).collect()

@@ -67,6 +67,30 @@ def test_sliding_rate(spark, tmp_path):
     assert [r["rate"] for r in got] == [pytest.approx(0.1)] * 5
 
 
+@pytest.mark.parametrize("files,run_rows", [(1, None), (12, None), (12, 5)])
+def test_counter_rates_equal_batch_growth(spark, tmp_path, files, run_rows):
+    path, out = str(tmp_path / "in"), str(tmp_path / "out")
+    # The counter of each series restarts every 50 samples, and each file holds every n-th sample.
+    samples = [(f"k{i % 3}", i * 17, (i // 3) % 50 * (1 + i % 3)) for i in range(360)]
+    schema = parts(spark, path, [samples[f::files] for f in range(files)], "k string, sec long, value long")
+    panes = lambda batch: st.pane_samples(batch, ["k"], ["ts", "sec"], "value")
+    st.run_parts(stream(spark, path, schema), out, str(tmp_path / "ck"), panes)
+    stored = st.read_parts(spark, out)
+    assert stored.select("batch").distinct().count() == files
+    rates = st.counter_rates(stored, ["k"], ["k"], run_rows=run_rows)
+    want = {}
+    for key in ("k0", "k1", "k2"):
+        before = None
+        for _, sec, value in [s for s in samples if s[0] == key]:
+            grown = 0 if before is None else value if value < before else value - before
+            before = value
+            for back in range(5):
+                start = sec // 60 * 60 - back * 60
+                want[key, start] = want.get((key, start), 0) + grown
+    got = {(r["k"], int(r["window_start"].timestamp())): r["rate"] for r in rates.collect()}
+    assert got == {at: pytest.approx(grown / 300) for at, grown in want.items()}
+
+
 def test_attempts_accepted_once_across_batches(spark, tmp_path):
     path = str(tmp_path / "in")
     schema = parts(spark, path, [[("a", 100), ("b", 100)], [("a", 100), ("a", 101)]])
